@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,8 +13,22 @@ from pyspark.sql import DataFrame, SparkSession
 LOCAL_STAGE = "file:///tmp/textloom-stage"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parent
+        to = Path(tempfile.mkdtemp()) / package.name
+        context.addPyFile(shutil.make_archive(str(to), "zip", package.parent, package.name))
+        _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The Parquet table ``name`` under ``sf_dir``; only Spark's reader touches the path."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
