@@ -78,3 +78,14 @@ j AS (
   FROM v LEFT JOIN f2 ON f2.lang IS NOT DISTINCT FROM v.lang AND f2.source IS NOT DISTINCT FROM v.source AND f2.ratio = v.ratio GROUP BY v.r)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND fine AS kept FROM b JOIN j USING (r)
 """
+
+SQL["op7_substring_dedup"] = rf"""
+WITH w AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+g AS (SELECT r, i, array_to_string(w[i:i + 34], ' ') AS g FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM w)),
+twice AS (SELECT r, i FROM g QUALIFY count(*) OVER (PARTITION BY md5(g)) > 1),
+covered AS (SELECT DISTINCT r, i + o AS i FROM twice, range(0, 35) t(o)),
+gone AS (SELECT r, list(i) AS gone FROM covered GROUP BY r),
+kept AS (SELECT r, list(x ORDER BY i) AS kept FROM (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM w) ANTI JOIN covered USING (r, i) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed, sha256(array_to_string(coalesce(kept, []), ' ')) AS kept_sha256
+FROM w LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)
+"""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import exact_dedup, mixing, packing, quality_rules, toxicity, url_filter
+from textloom.llm import exact_dedup, mixing, packing, quality_rules, substring_dedup, toxicity, url_filter
 from textloom.tables import table
 
 RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
@@ -30,6 +30,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -45,4 +50,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, only=["doc_id"]).select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filters, op4_mixing, op6_quality_rules, op8_exact_dedup, op9_packing, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_url_filters, op4_mixing, op6_quality_rules, op7_substring_dedup, op8_exact_dedup, op9_packing, op10_toxicity)}
