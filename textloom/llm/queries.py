@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import exact_dedup, mixing, packing, quality_rules, substring_dedup, toxicity, url_filter
+from textloom.llm import exact_dedup, mixing, ngram_join, packing, quality_rules, substring_dedup, toxicity, url_filter
 from textloom.tables import table
 
 RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
@@ -21,6 +21,11 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_rules(spark), ["page_id"])
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = ngram_join.ngram_join(table(spark, sf_dir, "documents"), size=3, per_cent=90, orders=3)
+    return joined.select("doc_id", "n_shingles", "component_id")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -50,4 +55,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, only=["doc_id"]).select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filters, op4_mixing, op6_quality_rules, op7_substring_dedup, op8_exact_dedup, op9_packing, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_url_filters, op3_ngram_jaccard_join, op4_mixing, op6_quality_rules, op7_substring_dedup, op8_exact_dedup, op9_packing, op10_toxicity)}
