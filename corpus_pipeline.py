@@ -1,11 +1,19 @@
-"""The corpus pipeline: documents in, a training mix out."""
+"""The corpus pipeline: documents in, packed training sequences out."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from textloom.llm import exact_dedup, mixing
-from textloom.tables import stage, table
+from textloom.llm import exact_dedup, mixing, ngram_join, packing, toxicity
+from textloom.tables import ship, stage, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the labelled ones, calls toxic go."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).where(F.col("predicted") == 0).select(*docs.columns)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,12 +21,25 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return exact_dedup.drop_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by 80 % of their five-word shingles, the one with the least id stays; documents without words stay."""
+    joined = ngram_join.ngram_join(docs, size=5, per_cent=80, orders=2)
+    keep = joined.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id")).distinct()
+    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["_kept_id"]), "left_semi")
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources meet their target weights; documents of small shares come in several epochs."""
+    """Sources meet their target weights; documents of sources with a larger share come in several epochs."""
     return mixing.mixed_documents(docs)
 
 
-STAGES = [("exact dedup", drop_exact_copies), ("mix", mix_sources)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of at most 2048 tokens."""
+    packed = packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True)
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids")
+
+
+STAGES = [("toxicity", drop_toxic), ("exact dedup", drop_exact_copies), ("ngram join", drop_near_copies), ("mix", mix_sources), ("pack", pack)]
 
 #: No SQL: model scores and subword tokens have none. The tests hold each stage against a brute-force version.
 ORACLE_SQL = None
@@ -26,6 +47,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each stage's rows are written and read again as the next one's."""
+    ship(spark)
     docs = table(spark, sf_dir, "documents")
     for i, (name, apply) in enumerate(STAGES):
         docs = apply(spark, docs, sf_dir)
