@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import exact_dedup, mixing, ngram_join, packing, quality_rules, substring_dedup, toxicity, url_filter
+from textloom.llm import exact_dedup, html_text, mixing, ngram_join, packing, pii, quality_rules, substring_dedup, toxicity, url_filter
 from textloom.tables import table
 
 RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
@@ -21,6 +21,15 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_rules(spark), ["page_id"])
 
 
+#: Of the query; a real corpus takes its key from outside.
+PII_KEY = b"query"
+
+
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    safe = pii.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY)
+    return safe.select("doc_id", "text", F.size("entities").cast("long").alias("n_entities"), "entities")
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = ngram_join.ngram_join(table(spark, sf_dir, "documents"), size=3, per_cent=90, orders=3)
     return joined.select("doc_id", "n_shingles", "component_id")
@@ -30,6 +39,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -55,4 +68,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, only=["doc_id"]).select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filters, op3_ngram_jaccard_join, op4_mixing, op6_quality_rules, op7_substring_dedup, op8_exact_dedup, op9_packing, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_url_filters, op2_pii_surrogates, op3_ngram_jaccard_join, op4_mixing, op5_html_extraction, op6_quality_rules, op7_substring_dedup, op8_exact_dedup, op9_packing, op10_toxicity)}
