@@ -1,4 +1,6 @@
 """Registered queries with their SQL."""
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from textloom.plans import counts, links, order, quality, text
+from textloom.plans.registry import ORACLE, QUERIES
+
+__all__ = ["ORACLE", "QUERIES", "counts", "links", "order", "quality", "text"]
