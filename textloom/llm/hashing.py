@@ -77,7 +77,17 @@ def word_hashes(text: str | bytes, lower: bool = False) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 
-def grouped(texts: list[bytes], most: int = TILE) -> Iterator[tuple[int, int]]:
+def many_word_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts in a row, and for each text where its words end."""
+    joined = b"\n".join(texts)
+    hashes = word_hashes(joined, lower)
+    raw = np.frombuffer(joined, np.uint8)
+    space = (raw == 32) | ((raw >= 9) & (raw <= 13))
+    first = np.flatnonzero(~space & np.concatenate(([True], space[:-1]))) if len(raw) else np.zeros(0, np.int64)
+    return hashes, np.searchsorted(first, np.cumsum([len(t) + 1 for t in texts]), side="left")
+
+
+def grouped(texts: list[bytes], most: int = TILE // 4) -> Iterator[tuple[int, int]]:
     """Ranges of texts that together have about ``most`` bytes."""
     start = size = 0
     for i, t in enumerate(texts):

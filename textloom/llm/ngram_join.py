@@ -23,6 +23,12 @@ Small sets (fewer than ``small`` tokens) use the whole hash space as slice of
 every order; sets near the limit take part in both regimes, as a pair needs
 one that both sides use.
 
+Before a pair is made at all, its sizes and its parity maps must allow a link:
+every token flips one of 512 bits, and maps never differ in more bits than the
+sets in tokens, so this drops no link. In a group of texts that are alike but
+not alike enough, it is what keeps the pairs few; each pair is still looked
+at once per shared token of the first order, inside the join.
+
 Defined results: a null, empty or blank text has an empty set, which is linked
 with nothing; a text with fewer words than a shingle has one shingle of all of
 them; repeated rows and equal sets are one class; an empty table gives an
@@ -36,13 +42,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
 from textloom.llm.components import components
-from textloom.llm.hashing import mixed, signed, word_hashes
+from textloom.llm.hashing import grouped, many_word_hashes, mixed, signed
 from textloom.tables import stage
 
 #: A token is common if it makes up this share of the rows of a task or of all; at most its inverse times a document's mean size are.
@@ -51,17 +57,27 @@ COMMON_SHARE = 0.002
 MOST_COMMON = 500_000
 
 
-def shingle_set(text: str | None, size: int) -> np.ndarray:
-    """The distinct hashes of a text's shingles, sorted."""
-    w = word_hashes(text or "", lower=True)
-    n = len(w)
-    if not n:
-        return w
-    k = min(size, n)
-    out = np.full(n - k + 1, np.uint64(k))
-    for j in range(k):
-        out = mixed(out ^ w[j : n - k + 1 + j])
-    return np.unique(out)
+def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
+    """For each text the distinct hashes of its shingles, sorted."""
+    texts = [(t or "").encode("utf-8", "surrogatepass") for t in column.to_pylist()]
+    for start, end in grouped(texts):
+        w, ends = many_word_hashes(texts[start:end], lower=True)
+        runs = np.full(max(0, len(w) - size + 1), np.uint64(size))
+        for j in range(size):
+            runs = mixed(runs ^ w[j : len(w) - size + 1 + j])
+        at = 0
+        for to in ends.tolist():
+            n = to - at
+            if n >= size:
+                yield np.unique(runs[at : to - size + 1])
+            elif n:
+                one = np.full(1, np.uint64(n))
+                for x in w[at:to]:
+                    one = mixed(one ^ x)
+                yield one
+            else:
+                yield w[:0]
+            at = to
 
 
 def set_key(tokens: np.ndarray) -> int:
@@ -140,8 +156,7 @@ def describe(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFram
 
         for batch in batches:
             keys, sizes = [], []
-            for text in batch.column(1):
-                tokens = shingle_set(text.as_py(), size)
+            for tokens in shingle_sets(batch.column(1), size):
                 key = set_key(tokens) if len(tokens) else None
                 keys.append(key)
                 sizes.append(len(tokens))
@@ -164,98 +179,124 @@ def describe(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFram
 HEAD = 1 << 60
 
 
-def sent_tokens(docs: DataFrame, size: int, per_cent: int, orders: int, common: np.ndarray, text_col: str, fill: bool) -> DataFrame:
-    """(token, key, kind) for each distinct set of a task: its tokens in slices and a head for each order, or those that fill up prefixes."""
+def sent_tokens(docs: DataFrame, size: int, per_cent: int, orders: int, common: np.ndarray, text_col: str) -> DataFrame:
+    """(token, key, kind, fill) for each distinct set of a task: its tokens in slices, a head for each order, and what fills up prefixes.
+
+    Heads and fillings aren't looked up by token; they go to a place of their own.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(common)  # at most MOST_COMMON
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = Orders(per_cent, orders, shared.value)
         seen: set[int] = set()
-        rows: list[tuple[np.ndarray, int, int]] = []
+        rows: list[tuple[np.ndarray, int, int, np.ndarray | None]] = []
         held = 0
 
         def made() -> pa.RecordBatch:
             sizes = [len(r[0]) for r in rows]
-            columns = [signed(np.concatenate([r[0] for r in rows])), *(np.repeat(np.array([r[k] for r in rows], np.int64), sizes) for k in (1, 2))]
+            token = signed(np.concatenate([r[0] for r in rows]))
+            key, kind = (np.repeat(np.array([r[k] for r in rows], np.int64), sizes) for k in (1, 2))
+            none = np.repeat([r[3] is None for r in rows], sizes)
+            fill = signed(np.concatenate([r[0] if r[3] is None else r[3] for r in rows]))
             rows.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "key", "kind"])
+            return pa.RecordBatch.from_arrays([pa.array(token), pa.array(key), pa.array(kind), pa.array(fill, mask=none)], ["token", "key", "kind", "fill"])
 
         for batch in batches:
-            for text in batch.column(0):
-                tokens = shingle_set(text.as_py(), size)
+            for tokens in shingle_sets(batch.column(0), size):
                 if not len(tokens) or (key := set_key(tokens)) in seen:
                     continue
                 seen.add(key)
+                own = np.array([key & (2**64 - 1)], np.uint64)
                 for p, inside, per_order in order(tokens):
-                    if not fill:
-                        rows.append((inside, key, 0))
+                    rows.append((inside, key, 0, None))
+                    held += len(inside)
                     for code, n, more in per_order:
-                        if fill and len(more):
-                            rows.append((more, key, code + 1))
-                        elif not fill:
-                            head = mixed(np.array([key & (2**64 - 1)], np.uint64) + np.uint64(code + 1))
-                            rows.append((head, key, HEAD | code << 54 | p << 27 | max(n, p)))
-                held += len(inside) if not fill else sum(len(x[2]) for x in per_order)
+                        rows.append((mixed(own + np.uint64(code + 1)), key, HEAD | code << 54 | p << 27 | max(n, p), None))
+                        if len(more):
+                            rows.append((mixed(more ^ own), key, code + 1, more))
+                            held += len(more)
                 if held > 100_000:
                     yield made()
                     held = 0
         if rows:
             yield made()
 
-    return docs.select(text_col).mapInArrow(run, "token long, key long, kind long")
+    return docs.select(text_col).mapInArrow(run, "token long, key long, kind long, fill long")
 
 
 def prefixes_of(docs: DataFrame, size: int, per_cent: int, orders: int, common: np.ndarray, text_col: str) -> DataFrame:
-    """(key, code, token): the prefix tokens, held by more than one set, of the sets that have some under every order of a regime."""
+    """(key, regime, prefixes): for each order the prefix tokens that other sets may have; sets without some under every order of a regime are gone."""
     # No token of a slice is common, so the rows of one token are few; they may be counted where they meet.
     met = Window.partitionBy("token")
-    sliced = sent_tokens(docs, size, per_cent, orders, common, text_col, fill=False)
-    sliced = sliced.withColumns({"lo": F.min("key").over(met), "hi": F.max("key").over(met), "times": F.count("*").over(met)})
-    sliced = sliced.where((F.col("kind") != 0) | (F.col("lo") < F.col("hi")))
-    small = F.col("token").bitwiseAND(1) == 1
+    sent = sent_tokens(docs, size, per_cent, orders, common, text_col)
+    sent = sent.withColumns({"lo": F.min("key").over(met), "hi": F.max("key").over(met), "times": F.count("*").over(met)})
+    sent = sent.where((F.col("kind") != 0) | (F.col("lo") < F.col("hi")))
+    head, filling, small = F.col("kind") >= HEAD, F.col("fill").isNotNull(), F.col("token").bitwiseAND(1) == 1
     slice_ = F.expr(f"cast(shiftrightunsigned(token, 1) div {slice_width(per_cent, orders)} as int)")
-    head = F.col("kind") != 0
-    codes = F.when(head, F.array(F.shiftright("kind", 54).bitwiseAND(63).cast("int"))).when(small, F.array(*[F.lit(2 * i + 1) for i in range(orders)])).otherwise(F.array(2 * slice_))
-    sliced = sliced.select("key", F.explode(codes).alias("code"), F.when(head, F.col("kind")).alias("head"), F.when(~head, F.struct(F.lit(0).alias("fill"), "times", "token")).alias("x"))
-
-    filled = sent_tokens(docs, size, per_cent, orders, common, text_col, fill=True).select("token", "key", (F.col("kind") - 1).cast("int").alias("code"))
-    shared = filled.groupBy("token", "code").agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.count("*").alias("times")).where("lo < hi")
-    filled = filled.join(shared, ["token", "code"]).select("key", "code", F.lit(None).cast("long").alias("head"), F.struct(F.lit(1).alias("fill"), "times", "token").alias("x"))
-
-    held = sliced.unionByName(filled).groupBy("key", "code").agg(F.max("head").alias("head"), F.collect_set("x").alias("shared"))
+    codes = F.when(head, F.array(F.shiftright("kind", 54).bitwiseAND(63).cast("int"))).when(filling, F.array((F.col("kind") - 1).cast("int")))
+    codes = codes.when(small, F.array(*[F.lit(2 * i + 1) for i in range(orders)])).otherwise(F.array(2 * slice_))
+    token = F.struct(filling.cast("int").alias("fill"), F.when(filling, 0).otherwise(F.col("times")).alias("times"), F.coalesce("fill", "token").alias("token"))
+    sent = sent.select("key", F.explode(codes).alias("code"), F.when(head, F.col("kind")).alias("head"), F.when(~head, token).alias("x"))
+    held = sent.groupBy("key", "code").agg(F.max("head").alias("head"), F.collect_set("x").alias("shared"))
     # Tokens that no other set has come first in every order and need not be known.
     p, n = F.shiftright("head", 27).bitwiseAND((1 << 27) - 1), F.col("head").bitwiseAND((1 << 27) - 1)
     left = (p - (n - F.size("shared"))).cast("int")
     ranked = F.sort_array(F.transform("shared", lambda x: F.struct(x["fill"].alias("fill"), x["times"].alias("times"), F.xxhash64(x["token"], F.col("code")).alias("rank"), x["token"].alias("token"))))
-    held = held.where((left > 0) & (F.size("shared") > 0)).select("key", "code", F.slice(ranked, F.lit(1), left).alias("prefix"))
-    regime = F.col("code").bitwiseAND(1)
-    whole = F.collect_list(F.struct("code", "prefix")).alias("all")
-    held = held.groupBy("key", regime.alias("regime")).agg(whole).where(F.size("all") == orders).select("key", "regime", F.explode("all").alias("x"))
-    return held.select("key", "regime", F.col("x.code").alias("code"), F.explode("x.prefix.token").alias("token"))
+    held = held.where((left > 0) & (F.size("shared") > 0)).select("key", "code", F.slice(ranked, F.lit(1), left)["token"].alias("prefix"))
+    each = F.sort_array(F.collect_list(F.struct("code", "prefix")))
+    held = held.groupBy("key", F.col("code").bitwiseAND(1).alias("regime")).agg(each.alias("all")).where(F.size("all") == orders)
+    return held.select("key", "regime", F.col("all.prefix").alias("prefixes"))
+
+
+#: Bits of a set's parity map, in longs of 64.
+MAP_LONGS = 8
+
+
+def parity_map(tokens: np.ndarray) -> np.ndarray:
+    """Each token flips a bit. Two maps differ in at most as many bits as the sets in tokens."""
+    flips = np.bincount((mixed(tokens) >> np.uint64(64 - (64 * MAP_LONGS).bit_length() + 1)).astype(np.int64), minlength=64 * MAP_LONGS) & 1
+    return np.packbits(flips.astype(np.uint8)).view(np.int64)
 
 
 def token_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(key, tokens) of ``docs`` (key, text) whose set has that key."""
+    """(key, tokens, map) of ``docs`` (key, text) whose set has that key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 200):
                 part = batch.slice(i, 200)
-                made = [(k, x) for k, t in zip(part.column(0).to_pylist(), part.column(1), strict=True) if len(x := shingle_set(t.as_py(), size)) and set_key(x) == k]
+                made = [(k, x) for k, x in zip(part.column(0).to_pylist(), shingle_sets(part.column(1), size), strict=True) if len(x) and set_key(x) == k]
                 if made:
                     offsets = np.concatenate(([0], np.cumsum([len(x) for _, x in made]))).astype(np.int32)
                     tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(np.concatenate([x for _, x in made]))))
-                    yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in made], pa.int64()), tokens], ["key", "tokens"])
+                    maps = pa.array([parity_map(x).tolist() for _, x in made], pa.list_(pa.int64()))
+                    yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in made], pa.int64()), tokens, maps], ["key", "tokens", "map"])
+
+    return docs.select("key", "text").mapInArrow(run, "key long, tokens array<long>, map array<long>")
+
 
-    return docs.select("key", "text").mapInArrow(run, "key long, tokens array<long>")
+def differing(a: str, b: str) -> Column:
+    """Bits in which two parity maps differ."""
+    out = F.lit(0)
+    for i in range(MAP_LONGS):
+        out = out + F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i]))
+    return out
 
 
-def passing(pairs: DataFrame, orders: int, sizes: DataFrame, per_cent: int) -> DataFrame:
-    """Of (a, b, regime, code) rows for shared prefix tokens, the pairs that share one under every order of a regime and whose sizes are near enough."""
-    shared = pairs.groupBy("a", "b", "regime").agg(F.count_distinct("code").alias("orders"), F.count("*").alias("tokens"))
-    shared = shared.where(F.col("orders") == orders).groupBy("a", "b").agg(F.max("tokens").alias("tokens"))
-    shared = shared.join(sizes.select(F.col("key").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("key").alias("b"), F.col("n").alias("nb")), "b")
-    return shared.where(F.lit(100) * F.least("na", "nb") >= F.lit(per_cent) * F.greatest("na", "nb")).select("a", "b", "tokens")
+def near(per_cent: int, na: str, nb: str, ma: str, mb: str) -> Column:
+    """What every link fulfils: sizes near enough, and maps that differ in no more bits than linked sets in tokens."""
+    sizes = F.lit(100) * F.least(na, nb) >= F.lit(per_cent) * F.greatest(na, nb)
+    return sizes & (F.lit(100 + per_cent) * differing(ma, mb) <= F.lit(100 - per_cent) * (F.col(na) + F.col(nb)))
+
+
+def passing(pairs: DataFrame, held: DataFrame, orders: int) -> DataFrame:
+    """The pairs (a, b) that share a prefix token under every order of a regime."""
+    left = held.select(F.col("key").alias("a"), "regime", F.col("prefixes").alias("pa"))
+    right = held.select(F.col("key").alias("b"), "regime", F.col("prefixes").alias("pb"))
+    met = pairs.select("a", "b").distinct().join(left, "a").join(right, ["b", "regime"])
+    for i in range(orders):
+        met = met.where(F.arrays_overlap(F.col("pa")[i], F.col("pb")[i]))
+    return met.select("a", "b").distinct()
 
 
 #: Pairs up to this number are sent to the tasks that hold the sets (16 bytes each); more are shuffled.
@@ -265,9 +306,9 @@ MOST_PAIRS = 2_000_000
 def verified(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
     """The pairs that are links, by their whole sets."""
     pairs = stage(pairs.select("a", "b"), "ngram_pairs")
-    near = F.broadcast if pairs.count() <= MOST_PAIRS else lambda x: x
-    left = sets.withColumnsRenamed({"key": "a", "tokens": "ta"}).join(near(pairs), "a")
-    right = sets.withColumnsRenamed({"key": "b", "tokens": "tb"}).join(near(pairs.select("b").distinct()), "b", "left_semi")
+    sent = F.broadcast if pairs.count() <= MOST_PAIRS else lambda x: x
+    left = sets.select(F.col("key").alias("a"), F.col("tokens").alias("ta")).join(sent(pairs), "a")
+    right = sets.select(F.col("key").alias("b"), F.col("tokens").alias("tb")).join(sent(pairs.select("b").distinct()), "b", "left_semi")
     met = left.join(right, "b").select("a", "b", F.size(F.array_intersect("ta", "tb")).cast("long").alias("both"), (F.size("ta") + F.size("tb")).cast("long").alias("sum"))
     return met.where(F.lit(100) * F.col("both") >= F.lit(per_cent) * (F.col("sum") - F.col("both"))).select("a", "b")
 
@@ -286,28 +327,33 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     common = np.array([r[0] for r in often.select("key").collect()], np.int64).view(np.uint64)
     prefixes = stage(prefixes_of(docs, size, per_cent, orders, common, text_col), "ngram_prefixes")
 
-    ids = stage(prefixes.select("key").distinct().join(classes, "key").select("key", F.col("least_id").alias("id"), "n"), "ngram_asked")
-    near = F.broadcast if ids.count() <= MOST_PAIRS else lambda x: x
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(near(ids.select("key", "id")), "id")
+    ids = stage(prefixes.select("key").distinct().join(classes, "key").select("key", F.col("least_id").alias("id")), "ngram_asked")
+    sent = F.broadcast if ids.count() <= MOST_PAIRS else lambda x: x
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(sent(ids), "id")
     sets = stage(token_sets(texts, size), "ngram_tokens")
-
-    # First each class against the leader with which it shares most.
-    by = ["code", "token"]
-    leaders = prefixes.groupBy(*by).agg(F.min_by("key", F.xxhash64("key", "token")).alias("b"), F.count("*").alias("members")).where("members > 1").drop("members")
-    pairs = prefixes.join(leaders, by).where(F.col("key") != F.col("b")).select(F.col("key").alias("a"), "b", "regime", "code")
-    best = passing(pairs, orders, ids, per_cent).groupBy("a").agg(F.max_by("b", F.struct("tokens", "b")).alias("b"))
-    links = stage(verified(best, sets, per_cent), "ngram_links")
+    held = stage(prefixes.join(sets.select("key", F.size("tokens").cast("long").alias("n"), "map"), "key"), "ngram_held")
+    # Pairs come from the first order; the others are held against them.
+    first = held.select("key", "regime", "n", "map", F.explode(F.col("prefixes")[0]).alias("token"))
+    by = ["regime", "token"]
+
+    # First each class against the leader that seems most like it.
+    leaders = first.groupBy(*by).agg(F.min_by(F.struct("key", "n", "map"), F.xxhash64("key", "token")).alias("b"), F.count("*").alias("members")).where("members > 1")
+    leaders = leaders.select(*by, F.col("b.key").alias("b"), F.col("b.n").alias("nb"), F.col("b.map").alias("mb"))
+    pairs = first.withColumnsRenamed({"key": "a", "n": "na", "map": "ma"}).join(leaders, by).where((F.col("a") != F.col("b")) & near(per_cent, "na", "nb", "ma", "mb"))
+    best = pairs.groupBy("a").agg(F.min_by("b", F.struct(differing("ma", "mb"), "b")).alias("b"))
+    links = stage(verified(passing(best, held, orders), sets, per_cent), "ngram_links")
     grouped = stage(components(links), "ngram_groups").select(F.col("node").alias("key"), "component")
 
-    # Then all other pairs that span two components.
-    member = stage(prefixes.join(grouped, "key", "left").withColumn("component", F.coalesce("component", "key")), "ngram_members")
+    # Then all other pairs that span two components: of each token's classes, those outside its largest component against the rest.
+    member = stage(first.join(grouped, "key", "left").withColumn("component", F.coalesce("component", "key")), "ngram_members")
     parts = member.groupBy(*by, "component").agg(F.count("*").alias("n"))
-    major = parts.groupBy(*by).agg(F.max_by("component", F.struct("n", "component")).alias("major"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
-    spanning = member.join(major, by)
-    minor = spanning.where("component <> major").select(*by, F.col("key").alias("x"), F.col("component").alias("cx"))
-    others = spanning.select(*by, "regime", F.col("key").alias("y"), F.col("component").alias("cy"))
-    pairs = minor.join(others, by).where("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "regime", "code", "token").distinct()
-    more = stage(verified(passing(pairs, orders, ids, per_cent), sets, per_cent), "ngram_links")
+    major = parts.groupBy(*by).agg(F.max_by("component", F.struct("n", "component")).alias("major"), F.count("*").alias("parts")).where("parts > 1").select(*by, "major")
+    spanning = member.join(stage(major, "ngram_major"), by)
+    x = spanning.where("component <> major").select(*by, F.col("key").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"), F.col("map").alias("mx"))
+    y = spanning.select(*by, F.col("key").alias("y"), F.col("component").alias("cy"), F.col("n").alias("ny"), F.col("map").alias("my"))
+    apart = (x["regime"] == y["regime"]) & (x["token"] == y["token"]) & (F.col("cx") != F.col("cy")) & near(per_cent, "nx", "ny", "mx", "my")
+    pairs = x.join(y, apart).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    more = stage(verified(passing(pairs, held, orders), sets, per_cent), "ngram_links")
 
     joined = components(links.unionByName(more))
     named = classes.join(joined, classes["key"] == joined["node"], "left").select("key", "least_id", F.coalesce("component", "key").alias("component"))
