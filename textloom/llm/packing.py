@@ -20,6 +20,7 @@ columns not named are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import cache
@@ -33,7 +34,10 @@ from pyspark.sql import functions as F
 #: Open examples of a task.
 POOL = 256
 #: Entries of a task's cache of encoded words, and the longest word kept in it.
-CACHE, CACHED_LENGTH = 400_000, 64
+CACHE, CACHED_LENGTH = 300_000, 64
+#: Words whose letters the vocabulary sees one by one: Latin ones, with a mark after them or not. Some of them, to see whether it does.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+PROBES = ["the", "Example.", "ZÉBRÉ,", "straße", "niño.", "won", "Internationalisation,"]
 
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long, ids binary"
 
@@ -53,7 +57,31 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.cache: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
+        self.marks = {m: self.encode(m) for m in ("", ".", ",")}
+        # Byte-level vocabularies name a byte over 0x7F by a character of its own: U+00A1 on as they are, the rest from U+0100 on.
+        named = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+        of_byte = [chr(256 + named.index(b)) if b in named else chr(b) for b in range(256)]
+        self.bytes_named = {c: "".join(of_byte[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+        self.plain_words = all(self.plain(w) == self.encode(w) for w in PROBES)
+
+    def plain(self, word: str) -> bytes | None:
+        """Ids of a plain word from those of its lower-case stem and its mark; None if it isn't one."""
+        m = PLAIN.fullmatch(word)
+        if not m:
+            return None
+        stem = m[1].lower()
+        ids = self.stems.get(stem)
+        if ids is None:
+            named = stem if stem.isascii() else stem.translate(self.bytes_named)
+            ids = np.array([t.id for t in self.model.tokenize(named)], "<u4").tobytes()
+            if len(self.stems) > CACHE:
+                self.stems.clear()
+            if len(stem) <= CACHED_LENGTH:
+                self.stems[stem] = ids
+        return ids + self.marks[m[2]]
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -74,7 +102,10 @@ class Encoder:
         if None in out:
             if len(known) > CACHE:
                 known.clear()
-            new = self.learn(list(dict.fromkeys(w for w, ids in zip(words, out, strict=True) if ids is None)))
+            unknown = dict.fromkeys(w for w, ids in zip(words, out, strict=True) if ids is None)
+            new = {w: ids for w in unknown if (ids := self.plain(w)) is not None} if self.plain_words else {}
+            if left := [w for w in unknown if w not in new]:
+                new |= self.learn(left)
             out = [new[w] if ids is None else ids for w, ids in zip(words, out, strict=True)]
             known.update((w, ids) for w, ids in new.items() if len(w) <= CACHED_LENGTH)
         return b"".join(out)
