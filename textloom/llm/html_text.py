@@ -125,6 +125,8 @@ class Renderer:
         self.lines: list[str] = []
         self.line: list[str] = []
         self.blank = False
+        #: Indentation of the open line, from where it began.
+        self.indent = ""
 
     def shown(self, node: Node) -> bool:
         a = node.attributes
@@ -135,13 +137,18 @@ class Renderer:
         style = a.get("style", "").replace(" ", "").lower()
         return "display:none" not in style and "visibility:hidden" not in style
 
-    def end_line(self, indent: str) -> None:
+    def say(self, text: str, indent: str) -> None:
+        if not self.line:
+            self.indent = indent
+        self.line.append(text)
+
+    def end_line(self) -> None:
         text = " ".join("".join(self.line).split())
         self.line.clear()
         if text:
             if self.blank and self.lines:
                 self.lines.append("")
-            self.lines.append(indent + text)
+            self.lines.append(self.indent + text)
             self.blank = False
 
     def walk(self, root: Node) -> str:
@@ -150,33 +157,31 @@ class Renderer:
         while todo:
             node, indent, number = todo.pop()
             if isinstance(node, str):
-                self.line.append(node)
+                if self.line or node.strip():
+                    self.say(node, indent)
                 continue
             if node is None:
-                self.end_line(indent)
+                self.end_line()
                 self.blank = self.blank or number
                 continue
             if not self.shown(node):
                 continue
             tag = node.tag
             if tag == "br":
-                self.end_line(indent)
+                self.end_line()
             elif tag == "img":
-                self.line.append(" " + node.attributes.get("alt", "") + " ")
+                self.say(" " + node.attributes.get("alt", "") + " ", indent)
             elif tag == "table":
-                self.end_line(indent)
+                self.end_line()
                 self.blank = True
                 for row in self.table(node):
-                    self.line.append(row)
-                    text = "".join(self.line)
-                    self.line.clear()
                     if self.blank and self.lines:
                         self.lines.append("")
-                    self.lines.append(indent + text)
+                    self.lines.append(indent + row)
                     self.blank = False
                 self.blank = True
             elif tag == "pre":
-                self.end_line(indent)
+                self.end_line()
                 if self.lines:
                     self.lines.append("")
                 self.lines += [indent + x.rstrip() for x in self.plain(node, keep=True).strip("\n").split("\n")]
@@ -185,11 +190,11 @@ class Renderer:
                 block, spaced = tag in BLOCKS, tag in SPACED
                 inner = indent
                 if block:
-                    self.end_line(indent)
+                    self.end_line()
                     self.blank = self.blank or (spaced and not (tag in ("ul", "ol") and indent))
                     todo.append((None, indent, spaced and not (tag in ("ul", "ol") and indent)))
                 if tag == "li":
-                    self.line.append(f"{number}. " if number is not None else "- ")
+                    self.say(f"{number}. " if number is not None else "- ", indent)
                 elif tag in ("dd", "blockquote"):
                     inner = indent + "  "
                     todo.append((None, inner, False))
@@ -202,7 +207,7 @@ class Renderer:
                     else:
                         own.append((child, inner + ("  " if tag == "li" and isinstance(child, Node) and child.tag in ("ul", "ol") else ""), None))
                 todo.extend(reversed(own))
-        self.end_line("")
+        self.end_line()
         return "\n".join(self.lines)
 
     def plain(self, root: Node, keep: bool = False) -> str:

@@ -62,9 +62,10 @@ def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
     texts = [(t or "").encode("utf-8", "surrogatepass") for t in column.to_pylist()]
     for start, end in grouped(texts):
         w, ends = many_word_hashes(texts[start:end], lower=True)
-        runs = np.full(max(0, len(w) - size + 1), np.uint64(size))
+        n_runs = max(0, len(w) - size + 1)
+        runs = np.full(n_runs, np.uint64(size))
         for j in range(size):
-            runs = mixed(runs ^ w[j : len(w) - size + 1 + j])
+            runs = mixed(runs ^ w[j : j + n_runs])
         at = 0
         for to in ends.tolist():
             n = to - at
@@ -259,7 +260,7 @@ def parity_map(tokens: np.ndarray) -> np.ndarray:
 
 
 def token_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(key, tokens, map) of ``docs`` (key, text) whose set has that key."""
+    """(key, n, tokens, map) of ``docs`` (key, text) whose set has that key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -270,9 +271,9 @@ def token_sets(docs: DataFrame, size: int) -> DataFrame:
                     offsets = np.concatenate(([0], np.cumsum([len(x) for _, x in made]))).astype(np.int32)
                     tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(np.concatenate([x for _, x in made]))))
                     maps = pa.array([parity_map(x).tolist() for _, x in made], pa.list_(pa.int64()))
-                    yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in made], pa.int64()), tokens, maps], ["key", "tokens", "map"])
+                    yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in made], pa.int64()), pa.array([len(x) for _, x in made], pa.int64()), tokens, maps], ["key", "n", "tokens", "map"])
 
-    return docs.select("key", "text").mapInArrow(run, "key long, tokens array<long>, map array<long>")
+    return docs.select("key", "text").mapInArrow(run, "key long, n long, tokens array<long>, map array<long>")
 
 
 def differing(a: str, b: str) -> Column:
@@ -331,29 +332,30 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sent = F.broadcast if ids.count() <= MOST_PAIRS else lambda x: x
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(sent(ids), "id")
     sets = stage(token_sets(texts, size), "ngram_tokens")
-    held = stage(prefixes.join(sets.select("key", F.size("tokens").cast("long").alias("n"), "map"), "key"), "ngram_held")
-    # Pairs come from the first order; the others are held against them.
-    first = held.select("key", "regime", "n", "map", F.explode(F.col("prefixes")[0]).alias("token"))
-    by = ["regime", "token"]
+    marks = sets.select("key", "n", "map")
 
-    # First each class against the leader that seems most like it.
-    leaders = first.groupBy(*by).agg(F.min_by(F.struct("key", "n", "map"), F.xxhash64("key", "token")).alias("b"), F.count("*").alias("members")).where("members > 1")
-    leaders = leaders.select(*by, F.col("b.key").alias("b"), F.col("b.n").alias("nb"), F.col("b.map").alias("mb"))
-    pairs = first.withColumnsRenamed({"key": "a", "n": "na", "map": "ma"}).join(leaders, by).where((F.col("a") != F.col("b")) & near(per_cent, "na", "nb", "ma", "mb"))
+    # First each class against the leader that seems most like it. Pairs come from the first order; the others are held against them.
+    by = ["regime", "token"]
+    first = prefixes.select("key", "regime", F.explode(F.col("prefixes")[0]).alias("token"))
+    leaders = first.groupBy(*by).agg(F.min_by("key", F.xxhash64("key", "token")).alias("leader"), F.count("*").alias("members")).where("members > 1").drop("members")
+    first = stage(first.join(stage(leaders, "ngram_leaders"), by), "ngram_first")
+    pairs = first.select(F.col("key").alias("a"), F.col("leader").alias("b")).where("a <> b").distinct()
+    of = lambda k: marks.select(F.col("key").alias(k), F.col("n").alias(f"n{k}"), F.col("map").alias(f"m{k}"))
+    pairs = pairs.join(of("a"), "a").join(of("b"), "b").where(near(per_cent, "na", "nb", "ma", "mb"))
     best = pairs.groupBy("a").agg(F.min_by("b", F.struct(differing("ma", "mb"), "b")).alias("b"))
-    links = stage(verified(passing(best, held, orders), sets, per_cent), "ngram_links")
+    links = stage(verified(passing(best, prefixes, orders), sets, per_cent), "ngram_links")
     grouped = stage(components(links), "ngram_groups").select(F.col("node").alias("key"), "component")
 
     # Then all other pairs that span two components: of each token's classes, those outside its largest component against the rest.
-    member = stage(first.join(grouped, "key", "left").withColumn("component", F.coalesce("component", "key")), "ngram_members")
+    member = stage(first.drop("leader").join(grouped, "key", "left").withColumn("component", F.coalesce("component", "key")), "ngram_members")
     parts = member.groupBy(*by, "component").agg(F.count("*").alias("n"))
     major = parts.groupBy(*by).agg(F.max_by("component", F.struct("n", "component")).alias("major"), F.count("*").alias("parts")).where("parts > 1").select(*by, "major")
-    spanning = member.join(stage(major, "ngram_major"), by)
+    spanning = stage(member.join(stage(major, "ngram_major"), by).join(marks, "key"), "ngram_spanning")
     x = spanning.where("component <> major").select(*by, F.col("key").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"), F.col("map").alias("mx"))
     y = spanning.select(*by, F.col("key").alias("y"), F.col("component").alias("cy"), F.col("n").alias("ny"), F.col("map").alias("my"))
     apart = (x["regime"] == y["regime"]) & (x["token"] == y["token"]) & (F.col("cx") != F.col("cy")) & near(per_cent, "nx", "ny", "mx", "my")
     pairs = x.join(y, apart).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    more = stage(verified(passing(pairs, held, orders), sets, per_cent), "ngram_links")
+    more = stage(verified(passing(pairs, prefixes, orders), sets, per_cent), "ngram_links")
 
     joined = components(links.unionByName(more))
     named = classes.join(joined, classes["key"] == joined["node"], "left").select("key", "least_id", F.coalesce("component", "key").alias("component"))

@@ -236,29 +236,36 @@ def mentions(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, copy int, kind string, form string")
 
 
-def proposals(wanted: DataFrame, key: bytes, attempt: int) -> DataFrame:
+def proposals(wanted: DataFrame, key: bytes, attempts: range) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            new = [surrogate(key, k, f, attempt) for k, f in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(new, pa.string())], ["kind", "form", "new"])
+            made = [(k, f, n, surrogate(key, k, f, n)) for k, f in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for n in attempts]
+            kinds, forms, at, new = zip(*made, strict=True) if made else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(forms, pa.string()), pa.array(at, pa.int32()), pa.array(new, pa.string())], ["kind", "form", "attempt", "new"])
 
-    return wanted.select("kind", "form").mapInArrow(run, "kind string, form string, new string")
+    return wanted.select("kind", "form").mapInArrow(run, "kind string, form string, attempt int, new string")
 
 
-def assigned(forms: DataFrame, key: bytes, most_attempts: int = 40) -> DataFrame:
-    """(kind, form, new): a surrogate for each distinct entity; no two of a type share one, and none is an entity of the corpus."""
-    left, done = forms, None
-    for attempt in range(most_attempts):
-        asked = proposals(left, key, attempt)
-        free = asked.join(forms.select("kind", F.col("form").alias("new")), ["kind", "new"], "left_anti")
+def assigned(forms: DataFrame, key: bytes, most_rounds: int = 30) -> DataFrame:
+    """(kind, form, new): a surrogate for each distinct entity; no two of a type share one, and none is an entity of the corpus.
+
+    Each round those that are left propose more at once, up to 64, so that
+    formats with few values are filled too.
+    """
+    left, done, at = forms, None, 0
+    for i in range(most_rounds):
+        attempts = range(at, at + (1 << min(i, 6)))
+        at = attempts.stop
+        free = proposals(left, key, attempts).join(forms.select("kind", F.col("form").alias("new")), ["kind", "new"], "left_anti")
         if done is not None:
             free = free.join(done.select("kind", "new"), ["kind", "new"], "left_anti")
-        won = free.groupBy("kind", "new").agg(F.min("form").alias("form")).select("kind", "form", "new")
+        won = free.groupBy("kind", "new").agg(F.min(F.struct("form", "attempt")).alias("w")).select("kind", "new", "w.*")
+        won = won.groupBy("kind", "form").agg(F.min_by("new", "attempt").alias("new"))
         done = stage(won if done is None else done.unionByName(won), "pii_surrogates")
         left = stage(forms.join(done, ["kind", "form"], "left_anti"), "pii_left")
         if left.isEmpty():
             return done
-    raise RuntimeError(f"entities are left without a surrogate after {most_attempts} attempts")
+    raise RuntimeError(f"entities are left without a surrogate after {at} proposals each")
 
 
 def replaced(met: DataFrame) -> DataFrame:
