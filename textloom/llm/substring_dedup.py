@@ -138,7 +138,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     found = occurrences(docs, window, seed)
     twice = found.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1").select("anchor")
-    shared = stage(found.join(twice, "anchor"), "repeat_anchors")
+    # As a written table, it meets the occurrences by an exchange of its own, and Spark may split a hot anchor.
+    shared = stage(found.join(stage(twice, "repeat_keys"), "anchor"), "repeat_anchors")
     place = F.struct("start", "n")
     groups = shared.groupBy("anchor", "reach").agg(F.count("*").alias("times"), F.min(F.struct("id", "copy", "start", "n")).alias("first"))
     groups = stage(groups, "repeat_groups")
@@ -146,7 +147,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     # An anchor with an extended run of its own may still share windows with its other occurrences: one for each run stands for all.
     mixed_anchors = groups.groupBy("anchor").agg(F.min("times").alias("least")).where("least = 1").select("anchor")
-    partial = groups.join(mixed_anchors, "anchor").select("first.*").groupBy("id", "copy").agg(F.collect_set(place).alias("places"))
+    partial = groups.join(stage(mixed_anchors, "repeat_mixed"), "anchor").select("first.*").groupBy("id", "copy").agg(F.collect_set(place).alias("places"))
     partial = partial.select(F.col("id").alias("p_id"), F.col("copy").alias("p_copy"), "places")
     texts = docs.repartition("id")
     asked = windows_of(texts.join(partial, F.col("id").eqNullSafe(F.col("p_id")) & (F.col("copy") == F.col("p_copy"))).select("id", "text", "copy", "places"), window)
