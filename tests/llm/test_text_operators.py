@@ -262,6 +262,21 @@ def test_no_entity_is_left(spark):
     assert found > 10
 
 
+def test_long_secrets_are_replaced_whole(spark):
+    rng = np.random.default_rng(7)
+    made = lambda n: "".join("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789-_."[i] for i in rng.integers(0, 65, n))
+    head, tail = made(300), made(300)
+    github = "ghp_" + "aB3" * 60
+    rows = [(1, f"token={head}{tail} end"), (2, f"token={head}{made(300)} end"), (3, f"token: {head}{tail}, end"), (4, f"see {github} end")]
+    got = {r["doc_id"]: r for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), b"k").collect()}
+    assert all(len(r["entities"]) == 1 for r in got.values())
+    new = {i: r["text"][r["entities"][0]["start"] : r["entities"][0]["end"]] for i, r in got.items()}
+    assert len(new[1]) == 600 and got[1]["text"] == f"token={new[1]} end"
+    assert new[1] == new[3] != new[2]
+    assert not any(old[i : i + 20] in new[1] for old in (head, tail) for i in range(0, 280, 20))
+    assert len(new[4]) == len(github) and github not in got[4]["text"]
+
+
 # --- toxicity
 
 

@@ -53,8 +53,8 @@ _NAME = r"[A-ZÀ-ÖØ-ÞА-ЯЁ](?:[a-zß-öø-ÿа-яё]+(?:-[A-ZÀ-ÖØ-ÞА-
 
 #: In order of precedence; each pattern starts with something rare or anchored, so long texts take linear time.
 PATTERNS = [
-    ("secret", re.compile(r"(?i)\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\b[\"']?\s{0,3}[:=]\s{0,3}[\"']?([^\s\"'<>|,;]{8,200})")),
-    ("secret", re.compile(r"\b((?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,100}|[0-9a-f]{40}|[0-9a-f]{64})\b")),
+    ("secret", re.compile(r"(?i)\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\b[\"']?\s{0,3}[:=]\s{0,3}[\"']?([^\s\"'<>|,;]{8,})")),
+    ("secret", re.compile(r"\b((?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|[0-9a-f]{40}|[0-9a-f]{64})\b")),
     ("email", re.compile(r"(?<![\w.+-])([^\W_][\w.+-]{0,63}@[^\W_][\w-]{0,62}(?:\.[\w-]{1,63}){0,6}\.[A-Za-z]{2,24})(?![\w-])")),
     ("iban", re.compile(r"\b([A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?)\b")),
     ("ip", re.compile(r"(?<![\d.])((?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?![\d.]?\d)")),
