@@ -277,6 +277,41 @@ def test_long_secrets_are_replaced_whole(spark):
     assert len(new[4]) == len(github) and github not in got[4]["text"]
 
 
+def test_masked_secrets_are_no_entities(spark):
+    masked = ["password: ********", "token: --------", "password=________", "secret: ••••••••••", "api_key: ****-****"]
+    rows = [(i, t + " Frau Weber") for i, t in enumerate(masked)] + [(9, "password: !$%&/()=?"), (10, "password: a*******"), (11, "token: 1-------")]
+    got = {r["doc_id"]: r for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), b"k").collect()}
+    assert len(got) == len(rows)
+    for i, t in enumerate(masked):
+        assert [e["kind"] for e in got[i]["entities"]] == ["last"] and got[i]["text"].startswith(t + " Frau ")
+    assert all([e["kind"] for e in got[i]["entities"]] == ["secret"] and got[i]["text"] != dict(rows)[i] for i in (9, 10, 11))
+    assert "$%&" not in got[9]["text"]
+
+
+def test_saturated_formats_are_filled(spark):
+    # every value of a two-digit form, and every one of four digits in texts
+    forms = spark.createDataFrame([(k, f"{i:02d}") for i in range(100) for k in ("ssn", "phone", "secret")], "kind string, form string")
+    got = pii.assigned(forms, b"k").collect()
+    assert len(got) == 300 == len({(r["kind"], r["new"]) for r in got})
+    assert not {r["new"] for r in got} & {f"{i:02d}" for i in range(100)}
+    rows = [(i, f"call +1 {i // 100:02d} {i % 100:02d} now") for i in range(10_000)]
+    texts = {r["doc_id"]: r["text"] for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), b"k").collect()}
+    assert len(set(texts.values())) == 10_000 and not set(texts.values()) & {t for _, t in rows}
+    assert all(re.fullmatch(r"call \+1 \d\d \d{2,} now", t) for t in texts.values())
+
+
+@pytest.mark.parametrize(("kind", "form"), [("ssn", "123456789"), ("card", "4111111111111111"), ("card", "4111111111111112"), ("iban", "DE89370400440532013000"), ("ip", "10.0.0.1"), ("phone", "2345"), ("secret", "a*******"), ("email", "a@b.cd"), ("given:f:latin", "anna"), ("last::cyrillic", "иванов")])
+def test_late_proposals_leave_the_format(kind, form):
+    assert all(len({len(pii.surrogate(b"k", kind, form, n)) for n in (0, n)}) == 2 for n in (300, 900))
+    assert kind != "card" or (pii.luhn(pii.surrogate(b"k", kind, form, 300)) == 0) == (pii.luhn(form) == 0)
+
+
+def test_longer_surrogates_are_rendered():
+    assert pii.rendered("phone", "+1 23 45", "987654") == "+1 98 7654"
+    assert pii.rendered("ssn", "123-45-6789", "9876543210") == "987-65-43210"
+    assert pii.rendered("iban", "DE89 3704 0044 05", "DE99999999999988") == "DE99 9999 9999 9988"
+
+
 # --- toxicity
 
 

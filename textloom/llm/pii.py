@@ -11,7 +11,9 @@ Weber" and "Mrs Weber" stay together.
 Distinct entities must stay distinct, so surrogates are checked over the whole
 corpus: the distinct entities propose one each, of several that propose the
 same all but one propose again, and none may propose what occurs in the corpus
-as an entity itself. The proposals, checks and the way back to the documents
+as an entity itself. Where a format has too few values for that, proposals get
+longer after ``SAME_LENGTH`` attempts. A secret of a few marks without a letter
+or digit (``********``) is a mask and no entity. The proposals, checks and the way back to the documents
 are joins on the entity; no table of entities is held in one place.
 
 Defined results: a null text stays null and an empty one empty; rows with
@@ -100,6 +102,15 @@ def canonical(kind: str, text: str) -> str:
     return text.replace(" ", "") if kind == "iban" else text
 
 
+#: Attempts that keep the length of what they replace; then every 64 more make a proposal one character longer.
+SAME_LENGTH = 127
+
+
+def is_mask(secret: str) -> bool:
+    """Whether it only stands for a secret: no letter or digit, and at most three different marks."""
+    return len(set(secret)) <= 3 and not any(c.isalpha() or c.isdigit() for c in secret)
+
+
 _CUES = {"token", "secret", "passw", "key"}
 _FIRST = {n for n, _ in GENDER} | {t for ts in TITLES.values() for t in ts.split()}
 _LETTERS = re.compile(r"[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]*")
@@ -134,7 +145,7 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
             last = b
             if kind == "name":
                 taken += [(a + x, a + y, k, c) for x, y, k, c in parts_of_name(text[a:b])]
-            else:
+            elif kind != "secret" or not is_mask(text[a:b]):
                 taken.append((a, b, kind, canonical(kind, text[a:b])))
     return taken
 
@@ -181,38 +192,44 @@ class Stream:
 
 
 def surrogate(key: bytes, kind: str, form: str, attempt: int) -> str:
-    """A proposal, in canonical form. Later attempts may be a little longer where the format leaves few values."""
+    """A proposal, in canonical form. Later attempts are a little longer, where the format leaves few values."""
     s = Stream(key, kind, form, attempt)
+    more = "0" * (0 if attempt < SAME_LENGTH else 1 + (attempt - SAME_LENGTH) // 64)
     if kind == "email":
         local, domain = form.split("@", 1)
         site = Stream(key, "domain", domain, 0).like(domain.rsplit(".", 1)[0])
         return s.like(local) + ("" if attempt < 4 else str(s.below(10 ** min(9, attempt)))) + "@" + site + ".example"
+    if kind == "ip" and more:  # addresses for documentation, of the longer kind
+        return "2001:db8:" + ":".join(f"{s.below(1 << 16):x}" for _ in range(6))
     if kind == "ip":
         return f"10.{s.below(256)}.{s.below(256)}.{s.below(256)}" if attempt < 8 else f"{1 + s.below(223)}.{s.below(256)}.{s.below(256)}.{s.below(256)}"
     if kind == "card":
-        body = s.like(form[:-1])
+        body = s.like(form[:-1] + more)
         valid = luhn(form) == 0
         right = (10 - luhn(body + "0")) % 10
         return body + str(right if valid else (right + 1 + s.below(9)) % 10)
     if kind == "iban":
-        return form[:2] + s.like(form[2:])
+        return form[:2] + s.like(form[2:] + more)
     if kind in ("given", "last") or ":" in kind:
         part, gender, script = kind.split(":")
         pick = lambda xs: xs[s.below(len(xs))]
         syllables = SYLLABLES[script].split()
         ends = ENDINGS.get((gender if part == "given" else ("f-last" if gender == "f" else ""), script)) or ENDINGS[("", script)]
         return "".join(pick(syllables) for _ in range(2 + s.below(2) + attempt // 3)) + pick(ends.split())
-    return s.like(form, hexadecimal=kind == "secret" and re.fullmatch(r"[0-9a-f]+", form) is not None)
+    if not any(c.isalpha() or c.isdigit() for c in form):  # marks stay as they are, so a secret of marks gets letters
+        form = "x" * len(form)
+    return s.like(form + more, hexadecimal=kind == "secret" and re.fullmatch(r"[0-9a-f]+", form) is not None)
 
 
 def rendered(kind: str, surface: str, new: str) -> str:
     """A surrogate in the format of what it replaces."""
     if kind in ("card", "ssn", "phone", "iban"):
         old = [i for i, c in enumerate(surface) if c.isalnum()]
-        old = old[len(old) - len(new) :]  # a country code that isn't part of the canonical form stays
+        old = old[len(old) - len(canonical(kind, surface)) :]  # a country code that isn't part of the canonical form stays
         out = list(surface)
-        for i, c in zip(old, new, strict=True):
+        for i, c in zip(old, new, strict=False):
             out[i] = c
+        out[old[-1]] += new[len(old) :]
         return "".join(out)
     if ":" in kind:
         return new.upper() if surface.isupper() and len(surface) > 1 else "-".join(x.capitalize() for x in new.split("-")) if surface[:1].isupper() else new
