@@ -340,6 +340,18 @@ def test_disguise_is_undone():
     assert x[toxicity.FEATURES.index("strong_count")] > 0 and x[toxicity.FEATURES.index("near_second_person")] > 0
 
 
+@pytest.mark.parametrize("n_second", [0, 1, 63, 64, 65, 500])
+def test_nearness_is_exact_at_any_length(n_second):
+    rng = np.random.default_rng(n_second)
+    features = toxicity.Features(toxicity.Lexicon({"idiot$": (50, 0)}, 100, 100))
+    near = lambda words: features(" ".join(words))[toxicity.FEATURES.index("near_second_person")]
+    far = ["tu", "vas"] * n_second + ["mot"] * 50 + ["idiot", "mot"] * 3
+    assert near(far) == 0
+    mixed = rng.permutation(["tu"] * n_second + ["idiot"] * 40 + ["mot"] * (10 * n_second + 20)).tolist()
+    want = sum("tu" in mixed[max(0, i - toxicity.NEAR) : i + toxicity.NEAR + 1] for i, w in enumerate(mixed) if w == "idiot")
+    assert near(mixed) == pytest.approx(np.log(1 + want))
+
+
 def test_arrow_types_of_ids(spark):
     d = spark.createDataFrame([("a", "x y z"), ("b", "x y z")], "doc_id string, text string")
     assert {r["component_id"] for r in ngram_join.ngram_join(d).collect()} == {"a"}

@@ -24,6 +24,7 @@ carried through.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -121,7 +122,8 @@ class Features:
             strong, weak = strong + (score >= STRONG), weak + (score < STRONG)
             total, best = total + score, max(best, score)
             distinct.add(word)
-            near += any(abs(i - j) <= NEAR for j in second) if len(second) < 64 else 1
+            at = bisect_left(second, i - NEAR)
+            near += at < len(second) and second[at] <= i + NEAR
         raw = text.encode("utf-8", "replace")
         upper = len(raw) - len(raw.translate(None, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
         marks = raw.count(b"!") + raw.count(b"?")
