@@ -312,6 +312,22 @@ def test_longer_surrogates_are_rendered():
     assert pii.rendered("iban", "DE89 3704 0044 05", "DE99999999999988") == "DE99 9999 9999 9988"
 
 
+def test_bare_names_of_a_document_are_replaced(spark):
+    rows = [
+        (1, "Weber came. Anna Weber called. Weber said ... Anna left, WEBER's car, Anna-Lena, Weber-Haus; weber annatto Annas anna.weber@mail.example.com"), (2, "Anna Weber wrote"), (3, "Weber and Anna have no other mention"),
+        (4, "Mrs Smith-Jones met Мария Иванова. Smith-Jones left; Иванова и Мария; Jones"), (5, "Paul Anna said. Frau Anna. Anna"),
+    ]
+    got = {r["doc_id"]: r for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"), b"k").collect()}
+    spans = lambda i: [(e["kind"], got[i]["text"][e["start"] : e["end"]]) for e in got[i]["entities"]]
+    (_, first), (_, last) = spans(2)
+    assert got[1]["text"].startswith(f"{last} came. {first} {last} called. {last} said ... {first} left, {last.upper()}'s car, {first}-Lena, {last}-Haus; weber annatto Annas ")
+    assert [k for k, _ in spans(1)] == ["last", "given", "last", "last", "given", "last", "given", "last", "email"]
+    assert got[3]["text"] == rows[2][1]
+    a, b, c = (x for _, x in spans(4)[:3])
+    assert got[4]["text"] == f"Mrs {a} met {b} {c}. {a} left; {c} и {b}; Jones"
+    assert len(spans(5)) == 4
+
+
 # --- toxicity
 
 

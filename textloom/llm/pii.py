@@ -6,7 +6,11 @@ its check digit is right), letters stay letters of the same script and case, an
 e-mail address stays one, and names keep their script, gender and case.
 Surrogates come from a keyed hash, so the same entity has the same surrogate
 everywhere, however it is spelled; a name's parts are entities, so "Anna
-Weber" and "Mrs Weber" stay together.
+Weber" and "Mrs Weber" stay together. Names are found by a title or a listed
+given name before them; in the same document their parts are then replaced
+wherever they stand alone with a capital, before or after. Not found are names
+that no such mention in their document tells, inflected forms, and names with
+other letters than those of Latin-1 and Russian.
 
 Distinct entities must stay distinct, so surrogates are checked over the whole
 corpus: the distinct entities propose one each, of several that propose the
@@ -150,6 +154,32 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
     return taken
 
 
+_CAPITALISED = re.compile(r"(?<!\w)[A-ZÀ-ÖØ-ÞА-ЯЁ]\w+(?:-\w+)*")
+
+
+def with_bare_names(text: str, found: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
+    """The entities of a text and the parts of its names where they stand alone; a part of several types is of the latest before it, or else of the first."""
+    known: dict[str, str] = {}
+    for _, _, kind, form in found:
+        if ":" in kind:
+            known.setdefault(form, kind)
+    if not known:
+        return found
+    out, at, n = [], 0, len(found)
+    for m in _CAPITALISED.finditer(text):
+        a, b = m.span()
+        while at < n and found[at][1] <= a:
+            out.append(found[at])
+            if ":" in found[at][2]:
+                known[found[at][3]] = found[at][2]
+            at += 1
+        whole = m[0].lower()
+        pieces = [(a, b, whole)] if whole in known or "-" not in whole else [(a + x.start(), a + x.end(), x[0].lower()) for x in re.finditer(r"[^-]+", m[0]) if x[0][0].isupper()]
+        free = at == n or found[at][0] >= b
+        out += [(x, y, known[w], w) for x, y, w in pieces if free and w in known]
+    return out + found[at:]
+
+
 def luhn(digits: str) -> int:
     total = 0
     for i, d in enumerate(reversed(digits)):
@@ -295,7 +325,7 @@ def replaced(met: DataFrame) -> DataFrame:
                 own, out, at, length = [], [], 0, 0
                 if known:
                     new = {(x["kind"], x["form"]): x["new"] for x in known}
-                    for a, b, kind, form in entities(text):
+                    for a, b, kind, form in with_bare_names(text, entities(text)):
                         put = rendered(kind, text[a:b], new[kind, form])
                         out += [text[at:a], put]
                         length += a - at
