@@ -207,6 +207,30 @@ def test_rendering(html, text):
     assert html_text.render(html) == text
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<table><tr><td><p>a<p>b<ul><li>x<li>y</ul>c<br>d<pre>\n  k\n    l</pre></table>", "a\n\nb\n\n- x\n- y\n\nc\nd\n\n  k\n    l"),
+        ("<table><tr><td>a<br>bcd<td>e<tr><td>f<td>g<br>h</table>", "a   | e\nbcd\nf   | g\n    | h"),
+        ("<table><tr><td>o<table><tr><td>a<td>b<tr><td>cc<td>d</table><td>r</table>", "o      | r\n\na  | b\ncc | d"),
+        ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a | b\n  | c\nd | e"),
+        ("<table><tbody><tr><td rowspan=0>a<td>b<tr><td>c</tbody><tbody><tr><td>d<td>e</table>", "a | b\n  | c\nd | e"),
+        ("<table><tr><td rowspan=2 colspan=2>a<td>b<tr><td>c</table>", "a |  | b\n  |  | c"),
+        (f"<table><tr><td>{'x' * 70}<td>b<tr><td>c<td>d</table>", f"{'x' * 70} | b\n{'c':70} | d"),
+        (f"<table><tr><td>{'word ' * 20}<td>b<tr><td>c<td>{'last ' * 20}</table>", f"{' '.join(['word'] * 12)} | b\n{' '.join(['word'] * 8)}\n{'c':59} | {' '.join(['last'] * 20)}"),
+        ("<table><tr><td>a<td>x |</table>", "a | x |"), ("<table><tr><td><i>a</i> <b>b</b></table>", "a b"), ("<table><form><tr><td>a<td>b</form></table>", "a | b"),
+        ("<table><tr><td>" * 2000 + "deep", "deep"),
+        ("a<svg viewBox='0 0 1 1'><defs/><title>no</title><desc>no</desc><path d='M0'/><text>b</text><text>c</text></svg>d", "a b c d"), ("x <math><mi>y</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math>", "x y=1"),
+        ("a<xmp>\n <b>k</b> &amp;\n  l</xmp>b", "a\n\n <b>k</b> &amp;\n  l\n\nb"),
+        ("<style>@media print { .a{color:red} .y{display:none} } .z{color:red;display:none}</style><p class=y>y<p class=z>z", "y"),
+        ("<style>@media (max-width:9px){.a{display:none}}@media screen{.b{display:none}}@media not print{.c{display:none}}/*.d{display:none}*/@keyframes k{p{visibility:hidden}}</style><p class=a>a<p class=b>b<p class=c>c<p class=d>d", "a\n\nd"),
+        ("<style media=print>.a{display:none}</style><style>@import 'x}'; .b, .c{content:'}'; visibility : hidden }</style><i class=a>a</i><i class=b>b</i><i class=c>c</i>", "a"),
+    ],
+)
+def test_layout_of_cells_and_what_is_visible(html, text):
+    assert html_text.render(html) == text
+
+
 def test_pages_keep_their_words(spark):
     pages = table(spark, DATA, "pages")
     texts = {r["page_id"]: r["text"] for r in QUERIES["op5_html_extraction"](spark, DATA).collect()}
