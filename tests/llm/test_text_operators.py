@@ -182,6 +182,27 @@ def test_packed_documents(spark):
     assert np.frombuffer(whole, "<u4").tolist() == [*Tokenizer.from_file(VOCABULARY).encode("a b c", add_special_tokens=False).ids, 1]
 
 
+@pytest.mark.parametrize(("size", "length", "held"), [(1, 512, 512), (3, 1024, 342), (4, 2048, 512), (6, 2048, 342)])
+def test_only_limits_close_a_sequence_of_short_texts(size, length, held):
+    packer, bins = packing.Packer(2048, 512, 2048, True, 0), defaultdict(list)
+    placed = [x for i in range(6000) for x in packer.add(i, None, size)] + list(packer.drain())
+    for item, sequence, _, _ in placed:
+        bins[sequence].append(item[3])
+    whole = [sum(x) for x in bins.values()]
+    assert sum(whole) == 6000 * size and Counter(whole)[length] >= len(whole) - 12
+    assert max(map(len, bins.values())) == held
+
+
+def test_a_bin_gives_back_more_than_the_pool_holds():
+    packer, pieces = packing.Packer(2048, 512, 2048, True, 0), Counter()
+    for i, n in enumerate([512, *[1] * 3000]):
+        for item, *_ in packer.add(i, None, n):
+            pieces[item[0]] += item[3]
+    for item, *_ in packer.drain():
+        pieces[item[0]] += item[3]
+    assert pieces == {0: 512} | dict.fromkeys(range(1, 3001), 1)
+
+
 def test_packed_conversations_stay_whole(spark):
     got = packing.pack_conversations(table(spark, DATA, "conversations"), VOCABULARY).collect()
     bins = defaultdict(list)

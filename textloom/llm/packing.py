@@ -11,7 +11,10 @@ Every task packs the rows it has read, so nothing is shuffled and no task
 needs the whole. If examples may be cut, the last example of a bin is cut to
 fill it, and a bin that can't be filled is cut back to a power of two, so
 padding only remains where a segment or loss limit leaves odd examples over.
-The examples a task holds open are bounded by ``POOL``.
+The examples a task chooses from are bounded by ``POOL``; they are refilled from
+the input while a bin is open, so only its limits close it. Where every token
+bears loss and the loss limit is that of tokens, as for documents, those two are
+one limit, and segments bind where texts are short.
 
 Defined results: a null text is empty and still has its end-of-text id;
 repeated rows are examples of their own; an empty table gives an empty result;
@@ -31,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Open examples of a task.
+#: Open examples of a task; only what a bin gives back comes on top.
 POOL = 256
 #: Entries of a task's cache of encoded words, and the longest word kept in it.
 CACHE, CACHED_LENGTH = 300_000, 64
@@ -129,12 +132,21 @@ class Packer:
         self.demand = np.full((POOL, 3), np.inf)
         self.items: list = [None] * POOL
         self.free = list(range(POOL))[::-1]
+        #: The open bin: what is left of its limits, and what it has.
+        self.left, self.own = self.limit.copy(), []
+
+    def n_open(self) -> int:
+        return len(self.items) - len(self.free)
 
     def loss_of(self, item: tuple) -> int:
         _, mask, start, length = item
         return length if mask is None else int(mask[start : start + length].sum())
 
     def hold(self, item: tuple) -> None:
+        if not self.free:
+            self.free = list(range(len(self.items), len(self.items) + POOL))[::-1]
+            self.demand = np.vstack((self.demand, np.full((POOL, 3), np.inf)))
+            self.items += [None] * POOL
         at = self.free.pop()
         self.items[at], self.demand[at] = item, (item[3], 1, self.loss_of(item))
 
@@ -153,7 +165,7 @@ class Packer:
             length = min(step, n - start)
             if mask is not None or self.limit[2] < step:  # a piece alone must meet the loss limit
                 length = max(1, self.loss_cut((example, mask, start, length), int(self.limit[2])))
-            while len(self.free) < 4:
+            while self.n_open() > POOL - 4:
                 yield from self.fill()
             self.hold((example, mask, start, length))
             start += length
@@ -166,19 +178,21 @@ class Packer:
         return int(np.searchsorted(np.cumsum(mask[start : start + length], dtype=np.int64), most, side="right"))
 
     def fill(self) -> Iterator[tuple]:
-        """Closes one bin."""
-        left, own = self.limit.copy(), []
-        while left[0] > 0:
-            value = (np.where(np.isinf(self.demand), 0, self.demand) / self.limit) @ (left / self.limit)
-            value[(self.demand > left).any(axis=1)] = -1
-            at = int(value.argmax())
-            if value[at] < 0:
-                break
+        """Puts the best example into the open bin, or closes it if it is full or none fits."""
+        left = self.left
+        value = (np.where(np.isinf(self.demand), 0, self.demand) / self.limit) @ (left / self.limit)
+        value[(self.demand > left).any(axis=1)] = -1
+        at = int(value.argmax())
+        if value[at] >= 0:
             item = self.take(at)
-            own.append(item)
+            self.own.append(item)
             left -= (item[3], 1, self.loss_of(item))
+            if left[0] > 0:
+                return
+        left, own = self.left, self.own
+        self.left, self.own = self.limit.copy(), []
         cut_at = -1
-        if self.cut and left[0] > 0 and left[1] >= 1 and len(self.free) < POOL:
+        if self.cut and left[0] > 0 and left[1] >= 1 and self.n_open():
             at = int(np.where(np.isinf(self.demand[:, 0]), -1, self.demand[:, 0]).argmax())
             example, mask, start, length = self.items[at]
             n = self.loss_cut((example, mask, start, min(length, int(left[0]))), int(left[2]))
@@ -209,7 +223,7 @@ class Packer:
         self.sequence += 1
 
     def drain(self) -> Iterator[tuple]:
-        while len(self.free) < POOL:
+        while self.n_open() or self.own:
             yield from self.fill()
 
 
