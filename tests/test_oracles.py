@@ -16,3 +16,8 @@ def test_entry(spark):
 
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
     assert __spark_entry__.entry(spark).columns == ["doc_id", "item_id", "n_shared", "n_passage", "score"]
+
+
+@pytest.mark.parametrize("name", ["duplicate_groups", "inverted_index", "split_by_lang", "nested_books"])
+def test_no_group_is_held_in_an_array(spark, name):
+    assert "collect_" not in QUERIES[name](spark, DATA)._jdf.queryExecution().toString()

@@ -12,6 +12,11 @@ def inverted_index(rows: DataFrame, keys: list[str], item: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count_distinct(item).alias("n_items"), F.sort_array(F.collect_set(item)).alias("items"))
 
 
+def posting_ends(rows: DataFrame, keys: list[str], item: str) -> DataFrame:
+    """(keys, n_items, first, last) of the same lists, without holding one in an array."""
+    return rows.groupBy(*keys, item).agg(F.lit(1).alias("_one")).groupBy(*keys).agg(F.count(item).alias("n_items"), F.min(item).alias("first"), F.max(item).alias("last"))
+
+
 def surface_counts(rows: DataFrame, id_col: str, words: Column) -> DataFrame:
     """(surface, n, n_texts, first_text) of each distinct word."""
     said = rows.select(id_col, F.explode(words).alias("surface"))

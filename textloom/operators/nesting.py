@@ -13,12 +13,26 @@ def split_by_lang(rows: DataFrame, key: str, order: str, lang: str, value: str,
     return one.select(key, "lang", F.transform("x", lambda x: F.when(x["l"] == F.col("lang"), x["v"])).alias("values"))
 
 
+def lang_counts(rows: DataFrame, key: str, lang: str, value: str, langs: list[str]) -> DataFrame:
+    """(key, lang, n_there, n_holes, most) of the same arrays, without making them."""
+    own = lambda x: F.when(F.col(lang) == x, F.col(value))
+    one = lambda x: F.struct(F.lit(x).alias("lang"), F.count(own(x)).alias("n_there"), (F.count("*") - F.count(own(x))).alias("n_holes"), F.max(own(x)).alias("most"))
+    held = rows.groupBy(key).agg(F.array(*map(one, langs)).alias("x"))
+    return held.select(key, F.explode("x").alias("x")).select(key, "x.*")
+
+
 def nest(rows: DataFrame) -> DataFrame:
     """(book, chapters[chapter, verses[]]) from (book, chapter, verse), everything in order."""
     chapters = rows.groupBy("book", "chapter").agg(F.sort_array(F.collect_list("verse")).alias("verses"))
     return chapters.groupBy("book").agg(F.sort_array(F.collect_list(F.struct("chapter", "verses"))).alias("chapters"))
 
 
+def book_counts(rows: DataFrame) -> DataFrame:
+    """(book, n_chapters, n_verses, first_verse) of the same books, without nesting them."""
+    chapters = rows.groupBy("book", "chapter").agg(F.count("verse").alias("n"), F.min("verse").alias("first"))
+    return chapters.groupBy("book").agg(F.count("*").alias("n_chapters"), F.sum("n").alias("n_verses"), F.min("first").alias("first_verse"))
+
+
 def flatten(books: DataFrame) -> DataFrame:
     """The inverse of nest, with positions from 1."""
     c = books.select("book", F.posexplode("chapters").alias("_c", "chapter")).select("book", (F.col("_c") + 1).alias("chapter_index"), "chapter.chapter", F.posexplode("chapter.verses").alias("_v", "verse"))

@@ -59,6 +59,11 @@ def duplicate_groups(entries: DataFrame, key: Column, id_col: str) -> DataFrame:
     return entries.where(key.isNotNull() & (key != "")).groupBy(key.alias("key")).agg(F.count("*").alias("n"), F.sort_array(F.collect_list(id_col)).alias("ids")).where("n > 1")
 
 
+def duplicate_ends(entries: DataFrame, key: Column, id_col: str) -> DataFrame:
+    """(key, n, first, last) of the same groups, without holding one in an array."""
+    return entries.where(key.isNotNull() & (key != "")).groupBy(key.alias("key")).agg(F.count("*").alias("n"), F.min(id_col).alias("first"), F.max(id_col).alias("last")).where("n > 1")
+
+
 def winners(entries: DataFrame, key: str, id_col: str, rank: list[Column]) -> DataFrame:
     """(key, winner): of each group the entry with the greatest rank."""
     return entries.groupBy(key).agg(F.max_by(id_col, F.struct(*rank)).alias("winner"))

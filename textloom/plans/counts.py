@@ -32,8 +32,8 @@ def surface_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT event_type, count(DISTINCT user_id) AS n_items, min(user_id) AS first_item, max(user_id) AS last_item FROM events GROUP BY event_type")
 def inverted_index(spark: SparkSession, sf: str) -> DataFrame:
-    index = counting.inverted_index(table(spark, sf, "events"), ["event_type"], "user_id")
-    return index.select("event_type", "n_items", F.element_at("items", 1).alias("first_item"), F.element_at("items", -1).alias("last_item"))
+    index = counting.posting_ends(table(spark, sf, "events"), ["event_type"], "user_id")
+    return index.select("event_type", "n_items", F.col("first").alias("first_item"), F.col("last").alias("last_item"))
 
 
 @query("""

@@ -178,5 +178,5 @@ WITH p AS (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS k,
 SELECT min(doc_id) AS first_doc, max(CASE WHEN k = n THEN doc_id END) AS winner, count(*) AS n FROM p WHERE n > 1 GROUP BY text
 """)
 def duplicate_groups(spark: SparkSession, sf: str) -> DataFrame:
-    groups = resolving.duplicate_groups(table(spark, sf, "documents"), F.col("text"), "doc_id")
-    return groups.select(F.element_at("ids", 1).alias("first_doc"), F.element_at("ids", -1).alias("winner"), "n")
+    groups = resolving.duplicate_ends(table(spark, sf, "documents"), F.col("text"), "doc_id")
+    return groups.select(F.col("first").alias("first_doc"), F.col("last").alias("winner"), "n")

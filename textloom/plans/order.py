@@ -124,9 +124,7 @@ SELECT source, l.lang, count(CASE WHEN d.lang = l.lang THEN 1 END) AS n_there, c
 FROM documents d CROSS JOIN (VALUES ('de'), ('en'), ('es'), ('fr')) l(lang) GROUP BY ALL
 """)
 def split_by_lang(spark: SparkSession, sf: str) -> DataFrame:
-    split = nesting.split_by_lang(table(spark, sf, "documents"), "source", "doc_id", "lang", "n_chars", ["de", "en", "es", "fr"])
-    has = F.filter("values", lambda v: v.isNotNull())
-    return split.select("source", "lang", F.size(has).cast("long").alias("n_there"), (F.size("values") - F.size(has)).cast("long").alias("n_holes"), F.array_max("values").alias("most"))
+    return nesting.lang_counts(table(spark, sf, "documents"), "source", "lang", "n_chars", ["de", "en", "es", "fr"])
 
 
 @query("""
@@ -135,6 +133,4 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionke
 """)
 def nested_books(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    books = nesting.nest(rows.select(F.col("r_name").alias("book"), F.col("n_nationkey").alias("chapter"), F.col("c_custkey").alias("verse")))
-    verses = F.flatten(F.transform("chapters", lambda c: c["verses"]))
-    return books.select("book", F.size("chapters").cast("long").alias("n_chapters"), F.size(verses).cast("long").alias("n_verses"), F.array_min(verses).alias("first_verse"))
+    return nesting.book_counts(rows.select(F.col("r_name").alias("book"), F.col("n_nationkey").alias("chapter"), F.col("c_custkey").alias("verse")))
