@@ -8,7 +8,10 @@ first; slices are disjoint, so the filters are close to independent, and a
 slice is only a little wider than a prefix, so a document sends a fraction of
 its tokens per order. Then come other tokens by hash, and last those that a
 large share of all documents hold. Tokens that one document holds can't be
-shared and end their journey where they are counted.
+shared and end their journey where they are counted; a set whose prefix has no
+other token can't be linked and leaves the join. The orders are taken in turn,
+so only the first one counts tokens of all sets: most sets are gone after it,
+and the later orders look at the sets that are left.
 
 Equal sets are one class and enter the join once. Candidates are verified in
 two steps, so that a large group of near copies doesn't make a pair of every
@@ -31,14 +34,17 @@ at once per shared token of the first order, inside the join.
 
 Defined results: a null, empty or blank text has an empty set, which is linked
 with nothing; a text with fewer words than a shingle has one shingle of all of
-them; repeated rows and equal sets are one class; an empty table gives an
-empty result; columns other than id and text are ignored. Tokens are 64-bit
-hashes of shingles.
+them; repeated rows and equal sets are one class; rows with a null id are
+documents too; a text of any length is cut into shingles piece by piece; an
+empty table gives an empty result; columns other than id and text are ignored,
+whatever their names. Tokens are 64-bit hashes of shingles, and a class is
+named by 64 bits of its set: among ten billion classes, about three pairs may
+be expected to share a name by chance, and would then count as equal.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -58,8 +64,12 @@ MOST_COMMON = 500_000
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
-    """For each text the distinct hashes of its shingles, sorted."""
-    texts = [(t or "").encode("utf-8", "surrogatepass") for t in column.to_pylist()]
+    """For each text the distinct hashes of its shingles, sorted. Only a few texts are held at a time."""
+    for i in range(0, len(column), 128):
+        yield from _shingle_sets([(t or "").encode("utf-8", "surrogatepass") for t in column.slice(i, 128).to_pylist()], size)
+
+
+def _shingle_sets(texts: list[bytes], size: int) -> Iterator[np.ndarray]:
     for start, end in grouped(texts):
         w, ends = many_word_hashes(texts[start:end], lower=True)
         n_runs = max(0, len(w) - size + 1)
@@ -92,20 +102,20 @@ def prefix_size(n: int, per_cent: int) -> int:
     return n - -(-per_cent * n // 100) + 1
 
 
-class Orders:
-    """Which tokens of a set go first under each order.
+class Order:
+    """Which tokens of a set go first under order ``i``.
 
     A token's slice follows from its own bits; its last bit tells the regime.
     """
 
-    def __init__(self, per_cent: int, orders: int, common: np.ndarray, small: int = 128) -> None:
-        self.per_cent, self.orders, self.common = per_cent, orders, common
+    def __init__(self, i: int, per_cent: int, orders: int, common: np.ndarray, small: int = 128) -> None:
+        self.i, self.per_cent, self.common = i, per_cent, common
         self.width = slice_width(per_cent, orders)
         #: Sets of up to ``upto`` tokens are in the small regime, from ``small`` on in the other.
         self.small, self.upto = small, -(-100 * small // per_cent)
 
-    def __call__(self, tokens: np.ndarray) -> Iterator[tuple[int, np.ndarray, list[tuple[int, int, np.ndarray]]]]:
-        """For each regime of a set: (prefix size, tokens in slices, [(code of an order, number in its slice, tokens that fill up its prefix)])."""
+    def __call__(self, tokens: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """For each regime of a set: (regime, prefix size, tokens in the slice, tokens that fill up the prefix)."""
         n = len(tokens)
         p = prefix_size(n, self.per_cent)
         usual = ~np.isin(tokens, self.common, assume_unique=True) if len(self.common) else np.ones(n, bool)
@@ -113,19 +123,13 @@ class Orders:
             if n > self.upto if small else n < self.small:
                 continue
             names = tokens & ~np.uint64(1) | np.uint64(small)
-            slices = np.zeros(n, np.uint64) if small else (names >> np.uint64(1)) // np.uint64(self.width)
-            inside = usual & (slices < self.orders)
-            per_order = []
-            for i in range(self.orders):
-                own = inside if small else inside & (slices == i)
-                size = int(own.sum())
-                fill = names[:0]
-                if size < p:  # then by hash, the common ones last
-                    rest = np.flatnonzero(~own)
-                    rank = mixed(names[rest] + np.uint64(i))
-                    fill = names[rest[np.lexsort((rank, ~usual[rest]))][: p - size]]
-                per_order.append((2 * i + small, size, fill))
-            yield p, names[inside], per_order
+            inside = usual if small else usual & ((names >> np.uint64(1)) // np.uint64(self.width) == self.i)
+            fill = names[:0]
+            if (size := int(inside.sum())) < p:  # then by hash, the common ones last
+                rest = np.flatnonzero(~inside)
+                rank = mixed(names[rest] + np.uint64(self.i))
+                fill = names[rest[np.lexsort((rank, ~usual[rest]))][: p - size]]
+            yield small, p, names[inside], fill
 
 
 def slice_width(per_cent: int, orders: int) -> int:
@@ -133,25 +137,27 @@ def slice_width(per_cent: int, orders: int) -> int:
     return int(2**63 * min(1.0 / orders, 1.25 * (1 - per_cent / 100)))
 
 
-def describe(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, key, n, common): each document's set key and size, and for each task (null, token, times, true) of its common tokens."""
-    id_type = docs.schema[id_col].dataType
+def describe(docs: DataFrame, size: int) -> DataFrame:
+    """(id, mark, key, n, common) of ``docs`` (id, text, mark): each document's set key and size, and for each task (null, null, token, times, true) of its common tokens."""
+    id_type = docs.schema["id"].dataType
     arrow_type = to_arrow_type(id_type)
-    names = ["id", "key", "n", "common"]
+    names = ["id", "mark", "key", "n", "common"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        counts: dict[int, int] = {}
+        tokens_seen, times_seen = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         new: list[np.ndarray] = []
         held = 0
 
         def count() -> None:
-            nonlocal counts, held
-            for token, times in zip(*(x.tolist() for x in np.unique(np.concatenate(new), return_counts=True)), strict=True) if new else ():
-                if times > 1 or token in counts:
-                    counts[token] = counts.get(token, 0) + times
-            if len(counts) > 300_000:  # what is common in the task is far above this
-                counts = {t: c for t, c in counts.items() if c >= COMMON_SHARE * len(seen) / 4}
+            """Adds the new sets to the counts, and forgets what is far from common where the counts get many."""
+            nonlocal tokens_seen, times_seen, held
+            if new:
+                found, times = np.unique(np.concatenate(new), return_counts=True)
+                both, at = np.unique(np.concatenate((tokens_seen, found)), return_inverse=True)
+                sums = np.bincount(at, np.concatenate((times_seen, times)), len(both)).astype(np.int64)
+                stay = sums >= (max(2, COMMON_SHARE * len(seen) / 4) if len(both) > 100_000 else 1)
+                tokens_seen, times_seen = both[stay], sums[stay]
             new.clear()
             held = 0
 
@@ -165,88 +171,87 @@ def describe(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFram
                     seen.add(key)
                     new.append(tokens)
                     held += len(tokens)
-                    if held > 1_000_000:
+                    if held > 200_000:
                         count()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array([False] * len(keys), pa.bool_())], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array([False] * len(keys))], names)
         count()
-        often = {t: c for t, c in counts.items() if c >= max(32, COMMON_SHARE * len(seen))}
-        tokens = pa.array(np.array(list(often), np.uint64).view(np.int64), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(often), arrow_type), tokens, pa.array(list(often.values()), pa.int64()), pa.array([True] * len(often), pa.bool_())], names)
+        often = times_seen >= max(32, COMMON_SHARE * len(seen))
+        n = int(often.sum())
+        yield pa.RecordBatch.from_arrays([pa.nulls(n, arrow_type), pa.nulls(n, pa.int64()), pa.array(signed(tokens_seen[often])), pa.array(times_seen[often]), pa.array([True] * n, pa.bool_())], names)
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {id_type.simpleString()}, key long, n long, common boolean")
+    return docs.select("id", "text", "mark").mapInArrow(run, f"id {id_type.simpleString()}, mark long, key long, n long, common boolean")
 
 
-#: In ``kind``: 0 for a token of a slice; code + 1 for one that fills up a prefix; above this, code, prefix size and size of the slice.
+#: In ``kind``: 0 for a token of the slice, 1 for one that fills up a prefix; above this regime, prefix size and number of tokens sent.
 HEAD = 1 << 60
 
 
-def sent_tokens(docs: DataFrame, size: int, per_cent: int, orders: int, common: np.ndarray, text_col: str) -> DataFrame:
-    """(token, key, kind, fill) for each distinct set of a task: its tokens in slices, a head for each order, and what fills up prefixes.
-
-    Heads and fillings aren't looked up by token; they go to a place of their own.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(common)  # at most MOST_COMMON
+def sent_tokens(rows: DataFrame, sets_of: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[int, np.ndarray]]], i: int, per_cent: int, orders: int, common: np.ndarray) -> DataFrame:
+    """(token, key, kind) for each set that ``sets_of`` reads from ``rows``: its tokens in slice ``i``, what fills up its prefix, and a head, which lies at a place of its own."""
+    shared = rows.sparkSession.sparkContext.broadcast(common)  # at most MOST_COMMON
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = Orders(per_cent, orders, shared.value)
-        seen: set[int] = set()
-        rows: list[tuple[np.ndarray, int, int, np.ndarray | None]] = []
+        order = Order(i, per_cent, orders, shared.value)
+        parts: list[tuple[np.ndarray, int, int]] = []
         held = 0
 
         def made() -> pa.RecordBatch:
-            sizes = [len(r[0]) for r in rows]
-            token = signed(np.concatenate([r[0] for r in rows]))
-            key, kind = (np.repeat(np.array([r[k] for r in rows], np.int64), sizes) for k in (1, 2))
-            none = np.repeat([r[3] is None for r in rows], sizes)
-            fill = signed(np.concatenate([r[0] if r[3] is None else r[3] for r in rows]))
-            rows.clear()
-            return pa.RecordBatch.from_arrays([pa.array(token), pa.array(key), pa.array(kind), pa.array(fill, mask=none)], ["token", "key", "kind", "fill"])
+            sizes = [len(x[0]) for x in parts]
+            key, kind = (np.repeat(np.array([x[k] for x in parts], np.int64), sizes) for k in (1, 2))
+            token = signed(np.concatenate([x[0] for x in parts]))
+            parts.clear()
+            return pa.RecordBatch.from_arrays([pa.array(token), pa.array(key), pa.array(kind)], ["token", "key", "kind"])
+
+        for key, tokens in sets_of(batches):
+            own = np.array([key & (2**64 - 1)], np.uint64)
+            for small, p, inside, fill in order(tokens):
+                parts += [(mixed(own + np.uint64(small)), key, HEAD | small << 58 | p << 29 | (len(inside) + len(fill))), (inside, key, 0), (fill, key, 1)]
+                held += len(inside) + len(fill)
+            if held > 50_000:
+                yield made()
+                held = 0
+        if parts:
+            yield made()
+
+    return rows.mapInArrow(run, "token long, key long, kind long")
 
+
+def read_texts(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[int, np.ndarray]]]:
+    """Each distinct set of a task, from a column of texts."""
+
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+        seen: set[int] = set()
         for batch in batches:
             for tokens in shingle_sets(batch.column(0), size):
-                if not len(tokens) or (key := set_key(tokens)) in seen:
-                    continue
-                seen.add(key)
-                own = np.array([key & (2**64 - 1)], np.uint64)
-                for p, inside, per_order in order(tokens):
-                    rows.append((inside, key, 0, None))
-                    held += len(inside)
-                    for code, n, more in per_order:
-                        rows.append((mixed(own + np.uint64(code + 1)), key, HEAD | code << 54 | p << 27 | max(n, p), None))
-                        if len(more):
-                            rows.append((mixed(more ^ own), key, code + 1, more))
-                            held += len(more)
-                if held > 100_000:
-                    yield made()
-                    held = 0
-        if rows:
-            yield made()
+                if len(tokens) and (key := set_key(tokens)) not in seen:
+                    seen.add(key)
+                    yield key, tokens
+
+    return sets_of
+
 
-    return docs.select(text_col).mapInArrow(run, "token long, key long, kind long, fill long")
+def read_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+    """Sets from the columns key and tokens."""
+    for batch in batches:
+        for key, tokens in zip(batch.column(0), batch.column(1), strict=True):
+            yield key.as_py(), tokens.values.to_numpy().view(np.uint64)
 
 
-def prefixes_of(docs: DataFrame, size: int, per_cent: int, orders: int, common: np.ndarray, text_col: str) -> DataFrame:
-    """(key, regime, prefixes): for each order the prefix tokens that other sets may have; sets without some under every order of a regime are gone."""
+def prefixes_of(sent: DataFrame, i: int) -> DataFrame:
+    """(key, regime, prefix): the prefix tokens under order ``i`` that other sets have sent too; sets without one are gone."""
     # No token of a slice is common, so the rows of one token are few; they may be counted where they meet.
     met = Window.partitionBy("token")
-    sent = sent_tokens(docs, size, per_cent, orders, common, text_col)
     sent = sent.withColumns({"lo": F.min("key").over(met), "hi": F.max("key").over(met), "times": F.count("*").over(met)})
-    sent = sent.where((F.col("kind") != 0) | (F.col("lo") < F.col("hi")))
-    head, filling, small = F.col("kind") >= HEAD, F.col("fill").isNotNull(), F.col("token").bitwiseAND(1) == 1
-    slice_ = F.expr(f"cast(shiftrightunsigned(token, 1) div {slice_width(per_cent, orders)} as int)")
-    codes = F.when(head, F.array(F.shiftright("kind", 54).bitwiseAND(63).cast("int"))).when(filling, F.array((F.col("kind") - 1).cast("int")))
-    codes = codes.when(small, F.array(*[F.lit(2 * i + 1) for i in range(orders)])).otherwise(F.array(2 * slice_))
-    token = F.struct(filling.cast("int").alias("fill"), F.when(filling, 0).otherwise(F.col("times")).alias("times"), F.coalesce("fill", "token").alias("token"))
-    sent = sent.select("key", F.explode(codes).alias("code"), F.when(head, F.col("kind")).alias("head"), F.when(~head, token).alias("x"))
-    held = sent.groupBy("key", "code").agg(F.max("head").alias("head"), F.collect_set("x").alias("shared"))
-    # Tokens that no other set has come first in every order and need not be known.
-    p, n = F.shiftright("head", 27).bitwiseAND((1 << 27) - 1), F.col("head").bitwiseAND((1 << 27) - 1)
+    head, fill = F.col("kind") >= HEAD, F.col("kind") == 1
+    sent = sent.where(head | (F.col("lo") < F.col("hi")))
+    regime = F.when(head, F.shiftright("kind", 58)).otherwise(F.col("token")).bitwiseAND(1)
+    token = F.struct(F.col("kind").alias("fill"), F.when(fill, 0).otherwise(F.col("times")).alias("times"), F.xxhash64("token", F.lit(i)).alias("rank"), "token")
+    held = sent.groupBy("key", regime.alias("regime")).agg(F.max(F.when(head, F.col("kind"))).alias("head"), F.collect_set(F.when(~head, token)).alias("shared"))
+    # Tokens that no other set has come first and need not be known.
+    p, n = F.shiftright("head", 29).bitwiseAND((1 << 29) - 1), F.col("head").bitwiseAND((1 << 29) - 1)
     left = (p - (n - F.size("shared"))).cast("int")
-    ranked = F.sort_array(F.transform("shared", lambda x: F.struct(x["fill"].alias("fill"), x["times"].alias("times"), F.xxhash64(x["token"], F.col("code")).alias("rank"), x["token"].alias("token"))))
-    held = held.where((left > 0) & (F.size("shared") > 0)).select("key", "code", F.slice(ranked, F.lit(1), left)["token"].alias("prefix"))
-    each = F.sort_array(F.collect_list(F.struct("code", "prefix")))
-    held = held.groupBy("key", F.col("code").bitwiseAND(1).alias("regime")).agg(each.alias("all")).where(F.size("all") == orders)
-    return held.select("key", "regime", F.col("all.prefix").alias("prefixes"))
+    held = held.where((left > 0) & (F.size("shared") > 0))
+    return held.select("key", "regime", F.slice(F.sort_array("shared"), F.lit(1), left)["token"].alias("prefix"))
 
 
 #: Bits of a set's parity map, in longs of 64.
@@ -301,7 +306,7 @@ def passing(pairs: DataFrame, held: DataFrame, orders: int) -> DataFrame:
 
 
 #: Pairs up to this number are sent to the tasks that hold the sets (16 bytes each); more are shuffled.
-MOST_PAIRS = 2_000_000
+MOST_PAIRS = 500_000
 
 
 def verified(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
@@ -320,18 +325,30 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Documents are linked if 100 * shared >= per_cent * union of their sets of
     ``size``-word shingles. component_id is the least id reachable by links.
     """
-    found = stage(describe(docs, size, id_col, text_col), "ngram_sets")
+    # Marks tell rows with one id apart, where the text of a class is looked up.
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("mark"))
+    found = stage(describe(docs, size), "ngram_sets")
     rows = found.where("not common").drop("common")
     often = found.where("common").groupBy("key").agg(F.sum("n").alias("n"))
-    classes = stage(rows.where("key is not null").groupBy("key").agg(F.min("id").alias("least_id"), F.max("n").alias("n")), "ngram_classes")
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("least")
+    classes = stage(rows.where("key is not null").groupBy("key").agg(least, F.max("n").alias("n")).select("key", "n", F.col("least.id").alias("least_id"), F.col("least.mark").alias("mark")), "ngram_classes")
     often = often.where(F.col("n") >= COMMON_SHARE * classes.count()).orderBy(F.desc("n"), "key").limit(MOST_COMMON)
     common = np.array([r[0] for r in often.select("key").collect()], np.int64).view(np.uint64)
-    prefixes = stage(prefixes_of(docs, size, per_cent, orders, common, text_col), "ngram_prefixes")
 
-    ids = stage(prefixes.select("key").distinct().join(classes, "key").select("key", F.col("least_id").alias("id")), "ngram_asked")
-    sent = F.broadcast if ids.count() <= MOST_PAIRS else lambda x: x
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(sent(ids), "id")
+    # The first order looks at all sets, each of the others at those that the orders before it have left.
+    held = stage(prefixes_of(sent_tokens(docs.select("text"), read_texts(size), 0, per_cent, orders, common), 0), "ngram_prefix")
+    ids = stage(held.select("key").distinct().join(classes, "key").select("key", F.col("least_id").alias("asked"), F.col("mark").alias("asked_mark")), "ngram_asked")
+    n_left = ids.count()
+    sent = F.broadcast if n_left <= MOST_PAIRS else lambda x: x
+    texts = docs.join(sent(ids), F.col("id").eqNullSafe(F.col("asked")) & (F.col("mark") == F.col("asked_mark")))
     sets = stage(token_sets(texts, size), "ngram_tokens")
+    if sets.count() > n_left:  # equal rows, id and text
+        sets = stage(sets.dropDuplicates(["key"]), "ngram_tokens")
+    prefixes = held.select("key", "regime", F.array("prefix").alias("prefixes"))
+    for i in range(1, orders):
+        left = sets.join(held.select("key").distinct(), "key", "left_semi").select("key", "tokens")
+        held = stage(prefixes_of(sent_tokens(left, read_sets, i, per_cent, orders, common), i), "ngram_prefix")
+        prefixes = stage(prefixes.join(held, ["key", "regime"]).select("key", "regime", F.array_append("prefixes", F.col("prefix")).alias("prefixes")), "ngram_prefixes")
     marks = sets.select("key", "n", "map")
 
     # First each class against the leader that seems most like it. Pairs come from the first order; the others are held against them.
