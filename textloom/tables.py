@@ -9,15 +9,17 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Where staged tables go when the session names no shared folder (tests on one machine).
-LOCAL_STAGE = "file:///tmp/textloom-stage"
-
+#: Bytes of a batch of rows on its way to Python; documents are large rows, and the usual 10,000 of them would fill a task's memory.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give this package to the Python workers, once for each application."""
+    """Give this package to the Python workers, once for each application, and bound their batches if the session doesn't."""
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, BATCH_BYTES)
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parent
@@ -33,8 +35,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a local one if it is unset."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or LOCAL_STAGE).rstrip("/")
+    """The folder of this application's staged tables, below ``spark.checkpoint.dir``, which driver and executors share.
+
+    Only where all tasks run on this machine may it be unset; then it is set to a new local folder.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = f"file://{tempfile.mkdtemp(prefix='textloom-')}"
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/textloom/{spark.sparkContext.applicationId}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -44,6 +55,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     written row groups are what later jobs read instead of recomputing.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/textloom/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_stage(spark: SparkSession) -> None:
+    """Delete what this application has staged; results that haven't been written yet can't be read afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
