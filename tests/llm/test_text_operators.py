@@ -1,4 +1,5 @@
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -134,11 +135,50 @@ def test_repeats_equal_brute_force(spark, window, seed):
 # --- packing
 
 
+ENCODER, TOKENIZER = packing.Encoder(VOCABULARY), Tokenizer.from_file(VOCABULARY)
+
+
+def plain_ids(text):
+    return TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
 def test_encoder_equals_tokenizer():
-    encode, plain = packing.Encoder(VOCABULARY), Tokenizer.from_file(VOCABULARY)
-    plain.encode_special_tokens = True
-    for t in ["", "a\x1cb c", "İstanbul ΑΣ Σ  x", "x's don't WE'LL", "é café ́", "日本語 デ", "12345 a1b2 a.b, c,", "ZÉBRÉ, straße.", "wörd" * 40, "\n\t ", "<|endoftext|>"] * 2:
-        assert np.frombuffer(encode(t), "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids
+    for t in ["", "a\x1cb c", "İstanbul ΑΣ Σ  x", "x's don't WE'LL", "é café ́", "日本語 デ", "12345 a1b2 a.b, c,", "ZÉBRÉ, straße.", "wörd" * 40, "\n\t ", "<|endoftext|>", "a <|startoftext|>b", "<|ENDOFTEXT|>", "won.$$$ ,. a., x²y ªº.", "\xa0a\x85b"] * 2:
+        assert np.frombuffer(ENCODER(t), "<u4").tolist() == plain_ids(t)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.characters(exclude_categories=["Cs"]) | st.sampled_from("aAbtTsSéÉßµªº²½_.,,'!$-0<|> \n\x1c\xa0"), max_size=40))
+def test_encoder_equals_tokenizer_on_any_text(t):
+    assert np.frombuffer(ENCODER(t), "<u4").tolist() == plain_ids(t)
+
+
+def test_encoder_forgets_what_is_not_used(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE", 3)
+    encode = packing.Encoder(VOCABULARY)
+    for t in ["a b c d e f g. H, a", "g a 7% x", "b c d e"]:
+        assert np.frombuffer(encode(t), "<u4").tolist() == plain_ids(t)
+    assert len(encode.words) <= 3 and len(encode.words.older) <= 3
+
+
+def test_packing_query_equals_plain_tokenizer(spark):
+    """Every piece, its place and checksum; each id of each document once, sequences without gaps and with little padding."""
+    rows = QUERIES["op9_packing"](spark, DATA).collect()
+    want = {r[0]: [*plain_ids(r[1] or ""), 1] for r in table(spark, DATA, "documents").select("doc_id", "text").collect()}
+    pieces, bins = defaultdict(list), defaultdict(list)
+    for r in rows:
+        assert r["doc_tokens"] == len(want[r["doc_id"]]) and r["length"] > 0
+        assert r["ids_crc32"] == zlib.crc32(np.array(want[r["doc_id"]][r["start"] : r["start"] + r["length"]], "<u4").tobytes())
+        pieces[r["doc_id"]].append((r["start"], r["length"]))
+        bins[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert pieces.keys() == want.keys()
+    for held, end in [*((pieces[i], len(want[i])) for i in want), *((b, None) for b in bins.values())]:
+        at = 0
+        for start, length in sorted(held):
+            assert start == at
+            at += length
+        assert at == end if end is not None else at == 2048 or at & (at - 1) == 0 and at < 2048
+    assert sum(map(len, want.values())) == sum(n for b in bins.values() for _, n in b)
 
 
 @settings(max_examples=60, deadline=None)

@@ -5,8 +5,7 @@ share a token among the first n - ceil(t * n) + 1 of either, in *any* global
 order of tokens. Here every pair must pass that filter under several orders at
 once. Order i puts first the tokens of slice i of the hash space, the rarest
 first; slices are disjoint, so the filters are close to independent, and a
-slice is only a little wider than a prefix, so a document sends a fraction of
-its tokens per order. Then come other tokens by hash, and last those that a
+document sends only a fraction of its tokens for an order. Then come other tokens by hash, and last those that a
 large share of all documents hold. Tokens that one document holds can't be
 shared and end their journey where they are counted; a set whose prefix has no
 other token can't be linked and leaves the join. The orders are taken in turn,
@@ -110,7 +109,7 @@ class Order:
 
     def __init__(self, i: int, per_cent: int, orders: int, common: np.ndarray, small: int = 128) -> None:
         self.i, self.per_cent, self.common = i, per_cent, common
-        self.width = slice_width(per_cent, orders)
+        self.start, self.end = slice_of(i, per_cent, orders)
         #: Sets of up to ``upto`` tokens are in the small regime, from ``small`` on in the other.
         self.small, self.upto = small, -(-100 * small // per_cent)
 
@@ -123,7 +122,8 @@ class Order:
             if n > self.upto if small else n < self.small:
                 continue
             names = tokens & ~np.uint64(1) | np.uint64(small)
-            inside = usual if small else usual & ((names >> np.uint64(1)) // np.uint64(self.width) == self.i)
+            place = names >> np.uint64(1)
+            inside = usual if small else usual & (place >= self.start) & (place < self.end)
             fill = names[:0]
             if (size := int(inside.sum())) < p:  # then by hash, the common ones last
                 rest = np.flatnonzero(~inside)
@@ -132,9 +132,16 @@ class Order:
             yield small, p, names[inside], fill
 
 
-def slice_width(per_cent: int, orders: int) -> int:
-    """A slice's share of the 63-bit hash space: a quarter wider than a prefix, as far as there is room."""
-    return int(2**63 * min(1.0 / orders, 1.25 * (1 - per_cent / 100)))
+def slice_of(i: int, per_cent: int, orders: int) -> tuple[int, int]:
+    """Where slice ``i`` of the 63-bit hash space starts and ends.
+
+    A set is gone if it alone holds as many tokens of a slice as its prefix
+    has. The first slice is twice a prefix, so a set stays only if about half
+    of its tokens there are shared; the others share what is left of the space.
+    """
+    first = 2**63 if orders == 1 else int(2**63 * min(0.5, 2 * (1 - per_cent / 100)))
+    width = (2**63 - first) // max(1, orders - 1)
+    return (0, first) if i == 0 else (first + (i - 1) * width, first + i * width)
 
 
 def describe(docs: DataFrame, size: int) -> DataFrame:
@@ -346,8 +353,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         sets = stage(sets.dropDuplicates(["key"]), "ngram_tokens")
     prefixes = held.select("key", "regime", F.array("prefix").alias("prefixes"))
     for i in range(1, orders):
-        left = sets.join(held.select("key").distinct(), "key", "left_semi").select("key", "tokens")
-        held = stage(prefixes_of(sent_tokens(left, read_sets, i, per_cent, orders, common), i), "ngram_prefix")
+        held = prefixes_of(sent_tokens(sets.select("key", "tokens"), read_sets, i, per_cent, orders, common), i)
         prefixes = stage(prefixes.join(held, ["key", "regime"]).select("key", "regime", F.array_append("prefixes", F.col("prefix")).alias("prefixes")), "ngram_prefixes")
     marks = sets.select("key", "n", "map")
 

@@ -24,6 +24,7 @@ columns not named are ignored.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Callable, Iterator
 from functools import cache
@@ -36,20 +37,81 @@ from pyspark.sql import functions as F
 
 #: Open examples of a task; only what a bin gives back comes on top.
 POOL = 256
-#: Entries of a task's cache of encoded words, and the longest word kept in it.
+#: Words in a worker's cache (twice as many at most), and the longest word kept in it.
 CACHE, CACHED_LENGTH = 300_000, 64
-#: Words whose letters the vocabulary sees one by one: Latin ones, with a mark after them or not. Some of them, to see whether it does.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
-PROBES = ["the", "Example.", "ZÉBRÉ,", "straße", "niño.", "won", "Internationalisation,"]
+#: What the vocabularies of this kind take apart in a word of Latin-1: runs of letters, single digits, runs of other signs.
+PART = re.compile("[A-Za-zªµºÀ-ÖØ-öø-ÿ]+|[0-9²³¹¼½¾]|[^A-Za-zªµºÀ-ÖØ-öø-ÿ0-9²³¹¼½¾]+")
+#: To see whether a vocabulary is of this kind.
+PROBES = ["the", "Example.", "ZÉBRÉ,", "straße!?", "niño...", "won.$$$", "Internationalisation", "a1", "ª²", "7.5%", "x_y-z@w.de", "µ(ß)"]
 
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long, ids binary"
 
 
+class Words(dict):
+    """Ids of words as bytes. A word that isn't known is encoded and kept; what isn't used for long is forgotten."""
+
+    def __init__(self, tokenizer: object) -> None:
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.older: dict[str, bytes] = {}
+        # Byte-level vocabularies name a byte over 0x7F by a character of its own: U+00A1 on as they are, the rest from U+0100 on.
+        named = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+        of_byte = [chr(256 + named.index(b)) if b in named else chr(b) for b in range(256)]
+        self.bytes_named = {c: "".join(of_byte[b] for b in chr(c).encode()) for c in range(0x80, 0x100)}
+        self.in_parts = True
+        self.in_parts = all(self[w] == self.encode(w) for w in PROBES)
+        self.clear()
+
+    def encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def of_letters(self, word: str) -> bytes:
+        """Ids of a lower-case word of Latin letters."""
+        ids = [t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.bytes_named))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def joined(self, word: str) -> bytes:
+        """Ids of a word of Latin-1 from those of its parts."""
+        parts = PART.findall(word.lower())
+        if len(parts) > 1:
+            return b"".join([self[x] for x in parts])
+        return self.of_letters(parts[0]) if parts[0].isalpha() else self.encode(word)
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            if not self.in_parts or "'" in word or not (word.isascii() or is_latin(word)):
+                ids = self.encode(word)
+            elif word.isalpha():
+                low = word.lower()
+                ids = self.of_letters(word) if low == word else self[low]
+            elif word[-1] in ".," and word[:-1].isalpha():
+                ids = self[word[:-1].lower()] + self[word[-1]]
+            else:
+                ids = self.joined(word)
+        if len(word) <= CACHED_LENGTH:
+            if len(self) >= CACHE:
+                self.older = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
+
+
+def is_latin(text: str) -> bool:
+    """Whether it has no character beyond Latin-1."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes.
+    """Ids of texts as little-endian unsigned 32-bit bytes, as the tokenizer gives them without adding special ones.
 
     The vocabulary never joins what white space separates, so a text's ids are
     those of its words in turn, and words are looked up in a bounded cache.
+    Texts that name a special token, or hold white space of which Python and
+    the tokenizer think differently, are encoded whole.
     """
 
     #: Python splits at these; the tokenizer does not count them as white space.
@@ -58,60 +120,14 @@ class Encoder:
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.model = self.tokenizer.model
-        self.cache: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
-        self.marks = {m: self.encode(m) for m in ("", ".", ",")}
-        # Byte-level vocabularies name a byte over 0x7F by a character of its own: U+00A1 on as they are, the rest from U+0100 on.
-        named = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
-        of_byte = [chr(256 + named.index(b)) if b in named else chr(b) for b in range(256)]
-        self.bytes_named = {c: "".join(of_byte[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
-        self.plain_words = all(self.plain(w) == self.encode(w) for w in PROBES)
-
-    def plain(self, word: str) -> bytes | None:
-        """Ids of a plain word from those of its lower-case stem and its mark; None if it isn't one."""
-        m = PLAIN.fullmatch(word)
-        if not m:
-            return None
-        stem = m[1].lower()
-        ids = self.stems.get(stem)
-        if ids is None:
-            named = stem if stem.isascii() else stem.translate(self.bytes_named)
-            ids = np.array([t.id for t in self.model.tokenize(named)], "<u4").tobytes()
-            if len(self.stems) > CACHE:
-                self.stems.clear()
-            if len(stem) <= CACHED_LENGTH:
-                self.stems[stem] = ids
-        return ids + self.marks[m[2]]
-
-    def encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def learn(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of distinct words, found in one call by where each id lies in the joined text."""
-        done = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ends = np.cumsum([len(w) + 1 for w in words])
-        of = np.searchsorted(ends, np.array([a for a, _ in done.offsets], np.int64), side="right")
-        ids, at = np.array(done.ids, "<u4").tobytes(), np.searchsorted(of, np.arange(len(words) + 1)) * 4
-        return {w: ids[at[i] : at[i + 1]] for i, w in enumerate(words)}
+        tokenizer = Tokenizer.from_file(path)
+        self.apart = [*self.ODD, *(t.content for t in tokenizer.get_added_tokens_decoder().values())]
+        self.words = Words(tokenizer)
 
     def __call__(self, text: str) -> bytes:
-        if any(c in text for c in self.ODD):
-            return self.encode(text)
-        words, known = text.split(), self.cache
-        out = list(map(known.get, words))
-        if None in out:
-            if len(known) > CACHE:
-                known.clear()
-            unknown = dict.fromkeys(w for w, ids in zip(words, out, strict=True) if ids is None)
-            new = {w: ids for w in unknown if (ids := self.plain(w)) is not None} if self.plain_words else {}
-            if left := [w for w in unknown if w not in new]:
-                new |= self.learn(left)
-            out = [new[w] if ids is None else ids for w, ids in zip(words, out, strict=True)]
-            known.update((w, ids) for w, ids in new.items() if len(w) <= CACHED_LENGTH)
-        return b"".join(out)
+        if any(x in text for x in self.apart):
+            return self.words.encode(text)
+        return b"".join(map(self.words.__getitem__, text.split()))
 
 
 @cache
