@@ -34,6 +34,30 @@ def test_directory_splits_overfull_buckets(spark):
     assert held.agg(F.max("count"), F.sum("count")).first()[0] <= 20
 
 
+def test_shallow_buckets_stand_in_several_cells(spark):
+    keys = spark.createDataFrame([((5 << 58) + (i << 52),) for i in range(40)] + [(0,), (-1,)], "key long")  # 40 keys share six bits
+    cells = exact_dedup.directory(keys, 8)
+    held = cells.groupBy("bucket", "local_depth", "global_depth").count().collect()
+    assert all(r["count"] == 1 << (r["global_depth"] - r["local_depth"]) for r in held)
+    assert max(r["local_depth"] for r in held) > min(r["local_depth"] for r in held)
+
+
+def test_lookups_go_through_the_directory(spark, monkeypatch):
+    d = spark.createDataFrame([(i, f"text {i % 7}") for i in range(70)], "doc_id long, text string")
+    whole = exact_dedup.directory
+    assert exact_dedup.exact_groups(d, capacity=2).where("kept").count() == 7
+    last = lambda cells: cells.agg(F.max("bucket")).first()[0]
+    monkeypatch.setattr(exact_dedup, "directory", lambda keys, capacity: (c := whole(keys, capacity)).where(F.col("bucket") != last(c)))
+    assert exact_dedup.exact_groups(d, capacity=2).where("kept").count() < 7
+
+
+def test_copies_are_dropped_by_row(spark):
+    d = spark.createDataFrame([(1, "a", "x"), (1, "b", "y"), (2, "A", "z"), (None, "b", "n"), (None, None, "m")], "doc_id long, text string, kept_id string")
+    out = exact_dedup.drop_copies(d)
+    assert out.columns == d.columns
+    assert sorted(r["kept_id"] for r in out.collect()) == ["m", "y", "z"]
+
+
 def test_empty_tables(spark):
     d = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     assert exact_dedup.exact_groups(d).count() == 0
@@ -78,3 +102,20 @@ def test_quality_on_odd_rows(spark):
     d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("n_words", F.lit(-1))
     got = {r["doc_id"]: (r["n_words"], r["n_dup_lines"], r["n_repeat_words"], r["kept"]) for r in quality_rules.judge(d).collect()}
     assert got == {1: (0, 0, 0, False), 2: (0, 0, 0, False), 3: (0, 0, 0, False), 4: (300, 0, 300, False), 5: (3, 1, 0, False)}
+
+
+def test_fences_come_from_the_spread_of_a_group(spark):
+    """Of two sources with the same odd document, the one whose documents differ little drops it."""
+    words = lambda i, spread: " ".join("w" * (5 + (i + j) % 3 * spread) + chr(97 + j % 26) + chr(97 + i % 26) + chr(97 + j // 26) for j in range(60))
+    rows = [(i, words(i, 0) + " x" * (i % 5), "en", "narrow") for i in range(60)] + [(100 + i, words(i, i % 9), "en", "wide") for i in range(60)]
+    odd = " ".join("v" * 14 + chr(97 + j % 26) + chr(97 + j // 26) for j in range(60))
+    rows += [(60, odd, "en", "narrow"), (160, odd, "en", "wide")]
+    got = {r["doc_id"]: r for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not got[60]["kept"] and got[160]["kept"]
+    assert got[60]["hi_chars_per_word"] < got[160]["hi_chars_per_word"]
+    assert sum(r["kept"] for r in got.values()) == len(rows) - 1
+
+
+def test_equal_documents_do_not_close_the_fence(spark):
+    rows = [(i, " ".join(f"word{j}" for j in range(60)), "en", "s") for i in range(100)] + [(100 + i, " ".join(f"word{j}" for j in range(55 - i % 3, 115)), "en", "s") for i in range(20)]
+    assert quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).where("kept").count() == 120

@@ -1,21 +1,25 @@
 """Exact deduplication by an extendible-hash index on shared files.
 
 The index has a *directory* and *buckets*. A document's key is a 64-bit hash
-of its normalised text; the directory maps the leading bits of a key to a
-bucket. While a bucket holds more than ``capacity`` distinct keys it is
-split by one more bit, and the directory doubles once a bucket needs more bits
-than it has. Every bucket is a contiguous key range, written to the shared
-folder by the task that owns the range. Within a key, entries are chained by
-their bytes: two texts share an entry only if they are identical, so a hash
-collision costs a chain link and never a wrong match.
+of its normalised text; the directory maps the leading bits of a key, its
+cell, to a bucket. A bucket with more than ``capacity`` distinct keys is split
+by one more bit, as often as needed, and the directory doubles whenever a
+bucket needs more bits than it has, so a shallow bucket stands in several
+cells. Building and looking up both go from cell to bucket. Every bucket is a
+key range of one owner, and the task of the owner writes its ranges, in order,
+to the shared folder. Within a key, entries are chained by their bytes: two
+texts share an entry only if they are identical, so a hash collision costs a
+chain link and never a wrong match.
 
 Everything is DataFrame operations. Copies collapse in the map-side
 aggregation before any shuffle, so a text with a third of all rows leaves each
 task as one row.
 
-Defined results: a null text counts as empty; repeated rows (same id and
-text) are rows of one group and each is returned; if two rows tie for the
-largest id, both carry it and both are kept; other columns are ignored; an
+Defined results: a null text counts as empty, however long texts are compared
+whole; rows with a null id are documents, and the row that stays of a group
+has a null id only if all have; repeated rows (same id and text) are rows of
+one group and each is returned; if two rows tie for the largest id, both carry
+it and both are kept; other columns are ignored, whatever their names; an
 empty table gives an empty result.
 """
 
@@ -23,9 +27,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from textloom.llm.words import lower_ascii
+from textloom.llm.words import fresh, lower_ascii
 from textloom.tables import stage
 
 
@@ -38,25 +41,31 @@ def prefix(key: Column, bits: int) -> Column:
     return F.shiftrightunsigned(key, 64 - bits) if bits else F.lit(0).cast("long")
 
 
-def directory(keys: DataFrame, capacity: int, max_bits: int = 20) -> DataFrame:
+def directory(keys: DataFrame, capacity: int) -> DataFrame:
     """The directory of an extendible-hash index over ``keys`` (a column ``key`` of distinct keys).
 
-    Returns one row per directory cell that holds keys: (cell, local_depth,
-    bucket), with ``bucket`` the first cell of its bucket. Its size is at most
-    2**max_bits rows and otherwise follows the number of keys over the
-    capacity.
+    Returns (cell, bucket, local_depth, global_depth) for every cell that a
+    bucket with keys stands in; ``bucket`` is its first cell. It starts with
+    one bucket for about ``capacity`` keys each; then the overfull ones, and
+    only their keys, are split by a bit until none is left.
     """
-    n = max(1, keys.count())
-    bits = min(max_bits, max(2, (4 * n // capacity).bit_length()))
-    cells = keys.groupBy(prefix(F.col("key"), bits).alias("cell")).agg(F.count("*").alias("n"))
-    # Splitting starts from one bucket. A depth is too shallow for a cell while its bucket there is overfull.
-    depth = F.lit(bits)
-    for d in reversed(range(bits)):
-        held = F.sum("n").over(Window.partitionBy(F.shiftrightunsigned("cell", bits - d)))
-        depth = F.when(held <= capacity, F.lit(d)).otherwise(depth)
-    out = cells.select("cell", depth.alias("local_depth"))
-    low = F.expr(f"cast(power(2, {bits} - local_depth) as bigint)")
-    return out.select("cell", "local_depth", (F.col("cell") - F.pmod(F.col("cell"), low)).alias("bucket"), F.lit(bits).alias("global_depth"))
+    keys = stage(keys.select("key"), "exact_keys")
+    depth = max(0, (keys.count() // capacity).bit_length() - 1)
+    level = keys.groupBy(prefix(F.col("key"), depth).alias("bits")).agg(F.count("*").alias("n"))
+    settled = None
+    while True:
+        level = stage(level.select("bits", "n", F.lit(depth).alias("depth")), "exact_level")
+        settled = level.where(F.col("n") <= capacity) if settled is None else settled.unionByName(level.where(F.col("n") <= capacity))
+        full = level.where(F.col("n") > capacity).select(F.col("bits").alias("full"))
+        if full.isEmpty():
+            break
+        again = keys.join(full, prefix(F.col("key"), depth) == F.col("full"), "left_semi")
+        depth += 1
+        level = again.groupBy(prefix(F.col("key"), depth).alias("bits")).agg(F.count("*").alias("n"))
+    times = F.expr(f"shiftleft(1L, {depth} - depth)")  # cells that a bucket stands in
+    cells = settled.select((F.col("bits") * times).alias("bucket"), F.col("depth").alias("local_depth"), times.alias("times"))
+    cells = cells.withColumn("cell", F.explode(F.expr("sequence(bucket, bucket + times - 1)")))
+    return cells.select("cell", "bucket", "local_depth", F.lit(depth).alias("global_depth"))
 
 
 def key_of(text: Column, key_bits: int) -> Column:
@@ -64,32 +73,39 @@ def key_of(text: Column, key_bits: int) -> Column:
     return key if key_bits == 64 else F.shiftleft(F.shiftrightunsigned(key, 64 - key_bits), 64 - key_bits)
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 4096, key_bits: int = 64) -> DataFrame:
+#: A directory of up to so many cells (16 bytes each) is sent to all tasks; a larger one is joined with.
+MOST_CELLS = 1_000_000
+OWNERS = 1024
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int | None = None, key_bits: int = 64) -> DataFrame:
     """Groups of equal documents: (id, keep_id, group_size, kept, text_sha256) for every row.
 
-    ``capacity`` is the number of distinct keys that a bucket may hold.
-    ``key_bits`` below 64 shortens the keys, which makes collisions certain;
-    it serves to test the chains.
+    ``capacity`` is the number of distinct keys that a bucket may hold, by
+    default one that makes at most some 100,000 buckets. ``key_bits`` below 64
+    shortens the keys, which makes collisions certain; it serves to test the
+    chains.
     """
     rows = docs.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("bytes"))
     rows = rows.select("id", "bytes", F.sha2(F.col("bytes"), 256).alias("sha"), key_of(F.col("bytes"), key_bits).alias("key"))
     digests = stage(rows.select("id", "key", "sha"), "exact_digests")
 
-    # The directory is bounded (see directory()), so it can be sent to every task.
-    cells = stage(directory(digests.select("key").distinct(), capacity), "exact_directory")
-    bits = cells.agg(F.max("global_depth")).first()[0] or 2
+    cells = stage(directory(digests.select("key").distinct(), capacity or max(512, digests.count() // 100_000)), "exact_directory")
+    depth = cells.agg(F.max("global_depth")).first()[0] or 0
+    sent = F.broadcast if cells.count() <= MOST_CELLS else lambda x: x
+    bucket_of = lambda df: df.withColumn("cell", prefix(F.col("key"), depth)).join(sent(cells.select("cell", "bucket")), "cell").drop("cell")
     # One entry for each distinct text of a key, found by comparing bytes: the chain of the key.
-    entries = rows.groupBy("key", "sha", "bytes").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
-    index = entries.select("key", "sha", "keep_id", "group_size", prefix(F.col("key"), bits).alias("cell"))
-    index = index.join(F.broadcast(cells.select("cell", "bucket")), "cell").drop("cell")
-    index = stage(index.repartition("bucket").sortWithinPartitions("bucket", "key", "sha"), "exact_index")
+    entries = bucket_of(rows).groupBy("bucket", "key", "sha", "bytes").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
+    index = entries.select("bucket", "key", "sha", "keep_id", "group_size")
+    owner = F.floor(F.col("bucket") * OWNERS / F.lit(2.0**depth))
+    index = stage(index.repartition(owner).sortWithinPartitions("bucket", "key", "sha"), "exact_index")
 
     # Two entries with one key and one digest hold different texts; only then do the bytes have to be joined again.
-    clash = index.groupBy("key", "sha").agg(F.count("*").alias("n")).where("n > 1")
+    clash = index.groupBy("bucket", "key", "sha").agg(F.count("*").alias("n")).where("n > 1")
     if clash.isEmpty():
-        found = digests.join(index, ["key", "sha"])
+        found = bucket_of(digests).join(index, ["bucket", "key", "sha"])
     else:
-        found = rows.join(entries, ["key", "sha", "bytes"])
+        found = bucket_of(rows).join(entries, ["bucket", "key", "sha", "bytes"])
     return found.select(
         F.col("id").alias(id_col),
         "keep_id",
@@ -99,7 +115,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
-def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 4096) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    keep = exact_groups(docs, id_col, text_col, capacity).where("kept").select(F.col(id_col).alias("_kept_id")).distinct()
-    return docs.join(keep, docs[id_col].eqNullSafe(keep["_kept_id"]), "left_semi")
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int | None = None) -> DataFrame:
+    """The documents that stay, with all their columns. Rows are told by id and text, so an id may occur with several texts."""
+    keep = exact_groups(docs, id_col, text_col, capacity).where("kept")
+    kept_id, kept_sha = fresh(docs, "kept_id", "kept_sha")
+    keep = keep.select(F.col(id_col).alias(kept_id), F.col("text_sha256").alias(kept_sha)).distinct()
+    sha = F.sha2(normalised(docs[text_col]), 256)
+    return docs.join(keep, docs[id_col].eqNullSafe(keep[kept_id]) & (sha == keep[kept_sha]), "left_semi")

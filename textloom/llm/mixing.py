@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textloom.llm.words import n_words
+from textloom.llm.words import fresh, n_words
 from textloom.tables import stage
 
 BINS = 4096
@@ -74,7 +74,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], most_epochs: floa
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most_epochs: float = 3.0, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", bins: int = BINS) -> DataFrame:
-    """(id, size, source, source_size, target, epochs, taken) for every document.
+    """(id, size, source, source_size, target, epochs, extra, taken, mark) for every document; mark tells the texts of one id apart.
 
     ``epochs`` counts complete epochs. ``taken`` is the number of words that
     the mix takes of the document, repeats counted: epochs times its size,
@@ -83,7 +83,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most_epochs: floa
     """
     text = F.col(text_col)
     key = -F.log(uniform(F.col(id_col), seed)) / quality_weight(text)
-    drawn = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(text).alias("size"), key.alias("key"))
+    drawn = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(text).alias("size"), key.alias("key"), F.xxhash64(text).alias("mark"))
     place = F.least(F.floor((1 - F.exp(-F.col("key"))) * bins), F.lit(bins - 1)).cast("int")
     drawn = stage(drawn.withColumn("bin", place), "mix_keys")
 
@@ -106,16 +106,18 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most_epochs: floa
     cut = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - before))
     out = rows.where(~ends_here).withColumn("extra", sure).unionByName(rows.where(ends_here).withColumn("extra", cut))
     taken = (F.col("epochs") * F.col("size") + F.col("extra")).cast("long")
-    return out.select(F.col("id").alias(id_col), "size", F.col("source").alias(source_col), "source_size", "target", "epochs", "extra", taken.alias("taken"))
+    return out.select(F.col("id").alias(id_col), "size", F.col("source").alias(source_col), "source_size", "target", "epochs", "extra", taken.alias("taken"), "mark")
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **params) -> DataFrame:
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a row for each epoch of each document, and one if the fraction takes it.
 
     Documents stay whole here: that in which a budget ends is taken if half of it fits. A document of size 0 comes once.
     """
-    taken = mix(docs, id_col=id_col, **params)
+    taken = mix(docs, id_col=id_col, text_col=text_col, **params)
     whole = F.col("epochs").cast("int") + (F.col("extra") * 2 >= F.col("size")).cast("int")
-    times = taken.groupBy(F.col(id_col).alias("_mixed_id")).agg(F.max(F.when(F.col("size") == 0, F.lit(1)).otherwise(whole)).alias("_times"))
-    met = docs.join(times.where("_times > 0"), docs[id_col].eqNullSafe(times["_mixed_id"]))
-    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    mixed_id, mixed_mark, n, copy = fresh(docs, "mixed_id", "mixed_mark", "n_copies", "copy")
+    times = taken.groupBy(F.col(id_col).alias(mixed_id), F.col("mark").alias(mixed_mark)).agg(F.max(F.when(F.col("size") == 0, F.lit(1)).otherwise(whole)).alias(n))
+    times = times.where(F.col(n) > 0)
+    met = docs.join(times, docs[id_col].eqNullSafe(times[mixed_id]) & (F.xxhash64(docs[text_col]) == times[mixed_mark]))
+    return met.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*docs.columns)

@@ -54,6 +54,7 @@ from pyspark.sql.window import Window
 
 from textloom.llm.components import components
 from textloom.llm.hashing import grouped, many_word_hashes, mixed, signed
+from textloom.llm.words import fresh
 from textloom.tables import stage
 
 #: A token is common if it makes up this share of the rows of a task or of all; at most its inverse times a document's mean size are.
@@ -327,7 +328,7 @@ def verified(pairs: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, per_cent: int = 80, orders: int = 2) -> DataFrame:
-    """(id, n_shingles, set_key, component_id) of every document.
+    """(id, n_shingles, set_key, component_id, mark) of every document; mark tells the texts of one id apart.
 
     Documents are linked if 100 * shared >= per_cent * union of their sets of
     ``size``-word shingles. component_id is the least id reachable by links.
@@ -386,4 +387,12 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     least_ids = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     of_class = named.join(least_ids, "component").select("key", "component_id")
     out = rows.join(of_class, "key", "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("key").alias("set_key"), F.coalesce("component_id", "id").alias("component_id"))
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("key").alias("set_key"), F.coalesce("component_id", "id").alias("component_id"), "mark")
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
+    """Of each group of linked documents the one with the least id, with all its columns; documents without words stay. Rows of that id whose texts are in the group stay together."""
+    joined = ngram_join(docs, id_col, text_col, **params)
+    kept_id, kept_mark = fresh(docs, "kept_id", "kept_mark")
+    keep = joined.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias(kept_id), F.col("mark").alias(kept_mark)).distinct()
+    return docs.join(keep, docs[id_col].eqNullSafe(keep[kept_id]) & (F.xxhash64(docs[text_col]) == keep[kept_mark]), "left_semi")

@@ -48,7 +48,9 @@ p AS (
 SELECT doc_id, size, source_size, target, (epochs * size + greatest(0, least(size, rest - before)))::BIGINT AS taken FROM p
 """
 
-STEP = "ln(1.01::DOUBLE / 0.99::DOUBLE)"
+STEP = "ln(1.002::DOUBLE / 0.998::DOUBLE)"
+RANK = "s[1 + floor({} * (len(s) - 1))::BIGINT]"
+PAIR = ", ".join(f"nullif({RANK.format(b)} - {RANK.format(a)}, 0)" for a, b in [("0.25", "0.75"), ("0.1", "0.9"), ("0.05", "0.95"), ("0", "1")])
 SQL["op6_quality_rules"] = rf"""
 WITH w AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text, {WORDS} AS w FROM documents),
 l AS (SELECT r, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM w),
@@ -64,18 +66,19 @@ b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 v AS (
   SELECT *, unnest(['chars', 'symbols', 'dup', 'repeat']) AS ratio,
          unnest([coalesce(word_chars::DOUBLE / nullif(n_words, 0), 0), coalesce(n_symbols::DOUBLE / nullif(n_words, 0), 0), coalesce(n_dup_lines::DOUBLE / nullif(n_lines, 0), 0), coalesce(n_repeat_words::DOUBLE / nullif(n_words, 0), 0)]) AS value FROM b),
-x AS (SELECT lang, source, ratio, CASE WHEN value < 0.001 THEN 0.0 ELSE exp(ceil(ln(value) / {STEP}) * {STEP}) * (2 / (1 + 1.01::DOUBLE / 0.99::DOUBLE)) END AS value FROM v WHERE NOT base_failed),
-q2 AS (SELECT lang, source, ratio, count(*) AS total, quantile_disc(value, 0.25) AS _a, list_sort(list(value)) AS s FROM x GROUP BY ALL),
-q1 AS (SELECT lang, ratio, count(*) AS total, list_sort(list(value)) AS s FROM x GROUP BY ALL),
-q0 AS (SELECT ratio, count(*) AS total, list_sort(list(value)) AS s FROM x GROUP BY ALL),
+k AS (SELECT *, CASE WHEN value >= 0.001 THEN ceil(ln(value) / {STEP})::BIGINT END AS bucket FROM v),
+x AS (SELECT lang, source, ratio, bucket FROM k WHERE NOT base_failed AND bucket IS NOT NULL),
+q2 AS (SELECT lang, source, ratio, list_sort(list(bucket)) AS s FROM x GROUP BY ALL HAVING count(*) >= 50),
+q1 AS (SELECT lang, ratio, list_sort(list(bucket)) AS s FROM x GROUP BY ALL HAVING count(*) >= 50),
+q0 AS (SELECT ratio, list_sort(list(bucket)) AS s FROM x GROUP BY ALL),
 f AS (
-  SELECT q2.lang, q2.source, q2.ratio, CASE WHEN q2.total >= 50 THEN q2.s WHEN q1.total >= 50 THEN q1.s ELSE q0.s END AS s
-  FROM q2 JOIN q1 ON q1.lang IS NOT DISTINCT FROM q2.lang AND q1.ratio = q2.ratio JOIN q0 ON q0.ratio = q2.ratio),
-f1 AS (SELECT lang, source, ratio, s[1 + floor(0.25 * (len(s) - 1))::BIGINT] AS lo, s[1 + floor(0.75 * (len(s) - 1))::BIGINT] AS hi FROM f),
-f2 AS (SELECT *, greatest(3 * (hi - lo), CASE ratio WHEN 'chars' THEN 0.75 WHEN 'symbols' THEN 0.1 ELSE 0.3 END) AS width FROM f1),
+  SELECT a.lang, a.source, a.ratio, coalesce(q2.s, q1.s, q0.s) AS s FROM (SELECT DISTINCT lang, source, ratio FROM k WHERE NOT base_failed) a
+  LEFT JOIN q2 ON q2.lang IS NOT DISTINCT FROM a.lang AND q2.source IS NOT DISTINCT FROM a.source AND q2.ratio = a.ratio
+  LEFT JOIN q1 ON q1.lang IS NOT DISTINCT FROM a.lang AND q1.ratio = a.ratio LEFT JOIN q0 ON q0.ratio = a.ratio),
+f1 AS (SELECT lang, source, ratio, {RANK.format("0.25")} AS lo, {RANK.format("0.75")} AS hi, coalesce({PAIR}, 0) AS spread FROM f),
 j AS (
-  SELECT v.r, bool_and(coalesce(value <= hi + width AND (v.ratio <> 'chars' OR value >= lo - width), TRUE)) AS fine
-  FROM v LEFT JOIN f2 ON f2.lang IS NOT DISTINCT FROM v.lang AND f2.source IS NOT DISTINCT FROM v.source AND f2.ratio = v.ratio GROUP BY v.r)
+  SELECT k.r, bool_and(coalesce(bucket <= hi + 3 * spread AND (k.ratio <> 'chars' OR bucket >= lo - 3 * spread), TRUE)) AS fine
+  FROM k LEFT JOIN f1 ON f1.lang IS NOT DISTINCT FROM k.lang AND f1.source IS NOT DISTINCT FROM k.source AND f1.ratio = k.ratio GROUP BY k.r)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND fine AS kept FROM b JOIN j USING (r)
 """
 

@@ -6,9 +6,17 @@ repeated three-word windows. For each ratio a quantile sketch is kept by
 (language, source): counts in logarithmic buckets, so any quantile is right to
 within ``ACCURACY`` of its value. Sketches merge by adding counts; the same
 buckets summed over sources give a language's sketch, and over everything the
-corpus's, and a group with under ``least`` documents uses the next larger
-sketch that has enough. From the quartiles come fences, and every document is
-joined with the fences of its group.
+corpus's, and a group with under ``least`` values uses the next larger
+sketch that has enough.
+
+A fence is what the sketch of a group says, and nothing else: on the scale of
+its buckets, the upper quartile plus ``REACH`` times the spread, for characters
+a word also the lower quartile minus it. The spread is the distance of the
+quartiles; where these are equal, as among copies, it is that of the next wider
+pair of quantiles that differ. Documents that have none of what a ratio counts
+(no symbol, no repeated line) are no part of its sketch, so rare things are
+measured against those that have them. Every document is joined with the
+fences of its group.
 
 Everything is DataFrame operations. Counts leave each task summed, so a source
 with a third of all rows is as cheap as any.
@@ -31,11 +39,18 @@ from textloom.llm.words import SPACES, words
 from textloom.tables import stage
 
 SYMBOLS = "#*$%&|<>"
-ACCURACY = 0.01
-#: Ratios under this fall into the lowest bucket and count as 0.
-TINY = 0.001
-#: For each ratio: the least width of its fence above the upper quartile, where a group hardly varies, and whether it also has a lower fence.
-SPREADS = {"chars_per_word": (0.75, True), "symbols_per_word": (0.1, False), "dup_line_share": (0.3, False), "repeat_share": (0.3, False)}
+#: Relative error of a quantile, and the ratio from which on there is one.
+ACCURACY, TINY = 0.002, 0.001
+STEP = log((1 + ACCURACY) / (1 - ACCURACY))
+#: The ratios, and whether they have a lower fence too.
+RATIOS = {"chars_per_word": True, "symbols_per_word": False, "dup_line_share": False, "repeat_share": False}
+#: Fences lie so many spreads from the quartiles; pairs of quantiles, whose distance is a spread.
+REACH, PAIRS = 3, [(0.25, 0.75), (0.1, 0.9), (0.05, 0.95), (0.0, 1.0)]
+
+
+def bucket_of(value: Column) -> Column:
+    """The bucket of a ratio; null where it is under ``TINY``."""
+    return F.when(value >= TINY, F.ceil(F.log(value) / STEP)).cast("int")
 
 
 def window_hashes(w: Column) -> Column:
@@ -78,36 +93,34 @@ def measured(docs: DataFrame, id_col: str, text_col: str, lang_col: str, source_
 
 
 def fences(measures: DataFrame, least: int) -> DataFrame:
-    """(lang, source, lo_<ratio>, hi_<ratio> ...) for every language and source."""
-    step = log((1 + ACCURACY) / (1 - ACCURACY))
-    middle = 2 / (1 + (1 + ACCURACY) / (1 - ACCURACY))
-    bucket = F.when(F.col("value") < TINY, F.lit(None)).otherwise(F.ceil(F.log("value") / step)).cast("int")
-    long = measures.where(~F.col("base_failed")).select("lang", "source", F.explode(F.array(*[F.struct(F.lit(k).alias("ratio"), F.col(k).alias("value")) for k in SPREADS])).alias("x")).select("lang", "source", "x.*")
-    sketch = stage(long.groupBy("lang", "source", "ratio", bucket.alias("bucket")).agg(F.count("*").alias("n")), "quality_sketch")
-
-    def quartiles(by: list[str]) -> DataFrame:
-        s = sketch.groupBy(*by, "ratio", "bucket").agg(F.sum("n").alias("n"))
-        order = Window.partitionBy(*by, "ratio").orderBy(F.col("bucket").asc_nulls_first())
+    """(lang, source, lo_<ratio>, hi_<ratio> ...) for every language and source: the first and last bucket inside the fences."""
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("ratio"), bucket_of(F.col(k)).alias("bucket")) for k in RATIOS]))
+    long = measures.where(~F.col("base_failed")).select("lang", "source", each.alias("x")).select("lang", "source", "x.*")
+    sketch = stage(long.groupBy("lang", "source", "ratio", "bucket").agg(F.count("*").alias("n")), "quality_sketch")
+
+    def ends(by: list[str]) -> DataFrame:
+        s = sketch.where("bucket is not null").groupBy(*by, "ratio", "bucket").agg(F.sum("n").alias("n"))
+        order = Window.partitionBy(*by, "ratio").orderBy("bucket")
         s = s.withColumns({"upto": F.sum("n").over(order), "total": F.sum("n").over(Window.partitionBy(*by, "ratio"))})
-        value = F.coalesce(F.exp(F.col("bucket") * step) * middle, F.lit(0.0))
-        # The element of rank 1 + floor(p * (total - 1)), as its bucket has it.
-        at = lambda p: F.min(F.when(F.col("upto") > F.floor(F.lit(p) * (F.col("total") - 1)), value))
-        return s.groupBy(*by, "ratio").agg(F.first("total").alias("total"), at(0.25).alias("q1"), at(0.75).alias("q3"))
+        # The element of rank 1 + floor(p * (total - 1)).
+        at = lambda p: F.min(F.when(F.col("upto") > F.floor(F.lit(p) * (F.col("total") - 1)), F.col("bucket")))
+        q = s.groupBy(*by, "ratio").agg(F.first("total").alias("total"), *[at(p).alias(f"q{i}{k}") for k, pair in enumerate(PAIRS) for i, p in enumerate(pair)])
+        spread = F.coalesce(*[F.nullif(F.col(f"q1{k}") - F.col(f"q0{k}"), F.lit(0)) for k in range(len(PAIRS))], F.lit(0))
+        return q.select(*by, "ratio", "total", (F.col("q00") - REACH * spread).alias("lo"), (F.col("q10") + REACH * spread).alias("hi"))
 
     names = {"g": ["lang", "source"], "l": ["lang"], "c": []}
-    levels = {k: quartiles(by).select(*[F.col(c).alias(f"{k}_{c}") for c in by], F.col("ratio").alias(f"{k}_ratio"), F.struct("total", "q1", "q3").alias(k)) for k, by in names.items()}
-    f = levels["g"].join(levels["l"], F.col("g_lang").eqNullSafe(F.col("l_lang")) & (F.col("g_ratio") == F.col("l_ratio"))).join(levels["c"], F.col("g_ratio") == F.col("c_ratio"))
+    levels = {k: ends(by).select(*[F.col(c).alias(f"{k}_{c}") for c in by], F.col("ratio").alias(f"{k}_ratio"), F.struct("total", "lo", "hi").alias(k)) for k, by in names.items()}
+    asked = sketch.select("lang", "source", "ratio").distinct()
+    same = {k: [F.col(c).eqNullSafe(F.col(f"{k}_{c}")) for c in by] + [F.col("ratio") == F.col(f"{k}_ratio")] for k, by in names.items()}
+    f = asked.join(levels["g"], same["g"], "left").join(levels["l"], same["l"], "left").join(levels["c"], same["c"], "left")
     best = F.when(F.col("g.total") >= least, F.col("g")).when(F.col("l.total") >= least, F.col("l")).otherwise(F.col("c"))
-    f = f.select(F.col("g_lang").alias("lang"), F.col("g_source").alias("source"), F.col("g_ratio").alias("ratio"), best.alias("q"))
-    spread = F.element_at(F.create_map(*[F.lit(x) for k, v in SPREADS.items() for x in (k, v[0])]), F.col("ratio"))
-    width = F.greatest(3 * (F.col("q.q3") - F.col("q.q1")), spread)
-    f = f.select("lang", "source", "ratio", (F.col("q.q1") - width).alias("lo"), (F.col("q.q3") + width).alias("hi"))
+    f = f.select("lang", "source", "ratio", best["lo"].alias("lo"), best["hi"].alias("hi"))
     pick = lambda c, k: F.max(F.when(F.col("ratio") == k, F.col(c)))
-    return f.groupBy("lang", "source").agg(*[pick("hi", k).alias(f"hi_{k}") for k in SPREADS], *[pick("lo", k).alias(f"lo_{k}") for k, v in SPREADS.items() if v[1]])
+    return f.groupBy("lang", "source").agg(*[pick("hi", k).alias(f"hi_{k}") for k in RATIOS], *[pick("lo", k).alias(f"lo_{k}") for k, both in RATIOS.items() if both])
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", least: int = 50) -> DataFrame:
-    """Counts, base_failed, the ratios' fences and kept, for every document."""
+    """Counts, base_failed, kept, the ratios and their fences, for every document."""
     m = measured(docs, id_col, text_col, lang_col, source_col)
     share = lambda a, b: F.coalesce(F.col(a) / F.nullif(F.col(b), F.lit(0)), F.lit(0.0))
     m = m.withColumns({
@@ -121,9 +134,10 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     f = fences(m, least).withColumnsRenamed({"lang": "f_lang", "source": "f_source"})
     met = m.join(f, F.col("lang").eqNullSafe(F.col("f_lang")) & F.col("source").eqNullSafe(F.col("f_source")), "left")
     fine = F.lit(True)
-    for k, (_, both) in SPREADS.items():
-        fine = fine & (F.col(k) <= F.col(f"hi_{k}"))
-        fine = fine & (F.col(k) >= F.col(f"lo_{k}")) if both else fine
-    kept = ~F.col("base_failed") & F.coalesce(fine, F.lit(True))
+    for k, both in RATIOS.items():
+        fine = fine & F.coalesce(bucket_of(F.col(k)) <= F.col(f"hi_{k}"), F.lit(True))
+        fine = fine & F.coalesce(bucket_of(F.col(k)) >= F.col(f"lo_{k}"), F.lit(True)) if both else fine
+    kept = ~F.col("base_failed") & fine
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    return met.select(F.col("id").alias(id_col), *counts, kept.alias("kept"), *SPREADS, *[f"hi_{k}" for k in SPREADS])
+    edges = [F.exp(F.col(f"hi_{k}") * STEP).alias(f"hi_{k}") for k in RATIOS] + [F.exp((F.col(f"lo_{k}") - 1) * STEP).alias(f"lo_{k}") for k, both in RATIOS.items() if both]
+    return met.select(F.col("id").alias(id_col), *counts, kept.alias("kept"), *RATIOS, *edges)

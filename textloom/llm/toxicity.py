@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textloom.llm.words import fresh
 from textloom.tables import stage
 
 #: Common insults, which count as lexicon words from the start.
@@ -211,18 +212,27 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return Model(lexicon, trees, calibration, lexicon.toxic / rows)
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text", only: list[str] | None = None) -> DataFrame:
-    """``docs`` (or its columns ``only``) with ``score`` and ``predicted``."""
-    keep = only or docs.columns
+def score(docs: DataFrame, model: Model, text_col: str = "text", only: list[str] | None = None, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """``docs`` (or its columns ``only``) with the columns ``names``: score and prediction. A column that has one of these names already gives way."""
+    keep = [c for c in only or docs.columns if c.lower() not in {n.lower() for n in names}]
+    # What is carried through lies in one column, so no name in it meets those of the model's stages.
+    held = docs.select(F.struct(*[docs[c] for c in keep]).alias("_doc"), docs[text_col].alias("_text"))
     if model.trees is None:
-        out = docs.select(*keep).withColumn("score", F.lit(float(model.share)))
+        out = held.withColumn("score", F.lit(float(model.share)))
     else:
-        made = with_features(docs, model.lexicon, text_col, only=keep).withColumn("x", array_to_vector("features")).drop("features")
+        made = with_features(held, model.lexicon, "_text", only=["_doc"]).withColumn("x", array_to_vector("features")).drop("features")
         out = model.trees.transform(made).withColumn("raw", vector_to_array("probability")[1]).drop("x", "rawPrediction", "probability", "prediction")
         if model.calibration:
             out = model.calibration.transform(out)
             # Isotonic steps tie many rows; a hundredth of the raw probability keeps their order.
-            out = out.withColumn("score", F.lit(0.99) * F.col("prediction") + F.lit(0.01) * F.col("raw")).drop("prediction", "raw")
+            out = out.withColumn("score", F.lit(0.99) * F.col("prediction") + F.lit(0.01) * F.col("raw"))
         else:
             out = out.withColumnRenamed("raw", "score")
-    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return out.select("_doc.*", F.col("score").alias(names[0]), (F.col("score") >= 0.5).cast("int").alias(names[1]))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents that a classifier fitted on ``labels`` doesn't call toxic, with all their columns."""
+    names = fresh(docs, "toxic_score", "toxic_predicted")
+    out = score(docs, fit(docs, labels, id_col, text_col), text_col, names=(names[0], names[1]))
+    return out.where(F.col(names[1]) == 0).drop(*names)

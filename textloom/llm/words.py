@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -24,3 +24,14 @@ def words(c: Column) -> Column:
 
 def n_words(c: Column) -> Column:
     return F.size(words(c)).cast("long")
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of ``df`` has, whatever the case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
