@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from textloom.llm import exact_dedup, mixing, ngram_join, packing, toxicity
 from textloom.tables import ship, stage, table
@@ -12,8 +11,7 @@ from textloom.tables import ship, stage, table
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the labelled ones, calls toxic go."""
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where(F.col("predicted") == 0).select(*docs.columns)
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,9 +21,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by 80 % of their five-word shingles, the one with the least id stays; documents without words stay."""
-    joined = ngram_join.ngram_join(docs, size=5, per_cent=80, orders=2)
-    keep = joined.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["_kept_id"]), "left_semi")
+    return ngram_join.drop_near_copies(docs, size=5, per_cent=80, orders=2)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
