@@ -14,13 +14,14 @@ least ``window`` words.
 Occurrences are never paired: they are counted by hash and joined with the
 counts, so a passage in a third of all documents makes one row for each
 occurrence, and copies leave each task summed. The texts are shuffled once, to
-meet what is known of them. Windows are told apart by 128 bits of hashes.
+meet what is known of them. Windows are told apart by 128 bits of hashes, and
+so are rows, by id and text; so an id may be null or repeated.
 
 Defined results: a null or empty text has no words; a text shorter than
-``window`` loses none; the same words twice in one document count as two
-occurrences; rows with equal id and text are two documents, which repeat each
-other; an empty table gives an empty result; columns other than id and text
-are ignored.
+``window`` loses none, and one of any length is looked at as a whole; the same
+words twice in one document count as two occurrences; rows with equal id and
+text are two documents, which repeat each other; an empty table gives an empty
+result; columns other than id and text are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,7 +38,6 @@ from textloom.llm.hashing import Runs, mixed, signed, word_hashes
 from textloom.tables import stage
 
 
-
 def last_least(values: np.ndarray, width: int) -> np.ndarray:
     """For every ``width`` values in a row, the place of the least; the last one on ties."""
     best, have = np.arange(len(values)), 1
@@ -65,24 +65,24 @@ def anchors_of(text: str, window: int, seed: int) -> tuple[np.ndarray, np.ndarra
 
 
 def occurrences(docs: DataFrame, window: int, seed: int) -> DataFrame:
+    """(anchor, reach, m1, m2, start, n) of ``docs`` (text, m1, m2): every anchor of every row."""
+    names = ["anchor", "reach", "m1", "m2", "start", "n"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["anchor", "reach", "id", "copy", "start", "n"]
         for batch in batches:
             rows, held = [], 0
-            for i, (text, copy) in enumerate(zip(batch.column(1), batch.column(2), strict=True)):
+            for i, text in enumerate(batch.column(0)):
                 found = anchors_of(text.as_py(), window, seed)
                 if found:
-                    rows.append((i, copy.as_py(), *found))
+                    rows.append((i, *found))
                     held += len(found[0])
-                if rows and (held > 200_000 or i + 1 == batch.num_rows):
-                    sizes = [len(r[2]) for r in rows]
-                    ids = batch.column(0).take(pa.array(np.repeat([r[0] for r in rows], sizes)))
-                    copies = np.repeat(np.array([r[1] for r in rows], np.int32), sizes)
-                    a, b, c, d = (np.concatenate([r[k] for r in rows]) for k in range(2, 6))
-                    yield pa.RecordBatch.from_arrays([pa.array(signed(a)), pa.array(signed(b)), ids, pa.array(copies), pa.array(c.astype(np.int32)), pa.array(d.astype(np.int32))], names)
+                if rows and (held > 50_000 or i + 1 == batch.num_rows):
+                    of = pa.array(np.repeat([r[0] for r in rows], [len(r[1]) for r in rows]))
+                    a, b, c, d = (np.concatenate([r[k] for r in rows]) for k in range(1, 5))
+                    yield pa.RecordBatch.from_arrays([pa.array(signed(a)), pa.array(signed(b)), batch.column(1).take(of), batch.column(2).take(of), pa.array(c.astype(np.int32)), pa.array(d.astype(np.int32))], names)
                     rows, held = [], 0
 
-    return docs.mapInArrow(run, f"anchor long, reach long, id {docs.schema['id'].dataType.simpleString()}, copy int, start int, n int")
+    return docs.select("text", "m1", "m2").mapInArrow(run, "anchor long, reach long, m1 long, m2 long, start int, n int")
 
 
 def windows_of(met: DataFrame, window: int) -> DataFrame:
@@ -90,14 +90,14 @@ def windows_of(met: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, (text, places) in enumerate(zip(batch.column(1), batch.column(3), strict=True)):
+            for i, (text, places) in enumerate(zip(batch.column(1), batch.column(4), strict=True)):
                 words = word_hashes(text.as_py())
                 starts = np.concatenate([np.arange(p["start"], p["start"] + p["n"]) for p in places.as_py()])
                 h = [Runs(x)(starts, starts + window) for x in (words, mixed(words + np.uint64(1)))]
-                k = len(starts)
-                yield pa.RecordBatch.from_arrays([pa.array(signed(h[0])), pa.array(signed(h[1])), batch.column(0).take(pa.array(np.full(k, i))), batch.column(2).take(pa.array(np.full(k, i))), pa.array(starts.astype(np.int32))], ["w1", "w2", "id", "copy", "start"])
+                of = pa.array(np.full(len(starts), i))
+                yield pa.RecordBatch.from_arrays([pa.array(signed(h[0])), pa.array(signed(h[1])), batch.column(2).take(of), batch.column(3).take(of), pa.array(starts.astype(np.int32))], ["w1", "w2", "m1", "m2", "start"])
 
-    return met.mapInArrow(run, f"w1 long, w2 long, id {met.schema['id'].dataType.simpleString()}, copy int, start int")
+    return met.mapInArrow(run, "w1 long, w2 long, m1 long, m2 long, start int")
 
 
 def cut_out(met: DataFrame, window: int) -> DataFrame:
@@ -133,27 +133,26 @@ def cut_out(met: DataFrame, window: int) -> DataFrame:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35, seed: int = 12) -> DataFrame:
     """(id, n_words, n_removed, text, repeats) of every document: the text without repeated passages, and where they were."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    # Rows that share an id are told apart by their text.
-    docs = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.hash(text).alias("copy"))
+    row = ["m1", "m2"]
+    docs = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(id_col, text).alias("m1"), F.xxhash64(text, F.lit("row")).alias("m2"))
 
-    found = occurrences(docs, window, seed)
+    found = stage(occurrences(docs, window, seed), "repeat_occurrences")
     twice = found.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1").select("anchor")
     # As a written table, it meets the occurrences by an exchange of its own, and Spark may split a hot anchor.
     shared = stage(found.join(stage(twice, "repeat_keys"), "anchor"), "repeat_anchors")
     place = F.struct("start", "n")
-    groups = shared.groupBy("anchor", "reach").agg(F.count("*").alias("times"), F.min(F.struct("id", "copy", "start", "n")).alias("first"))
+    groups = shared.groupBy("anchor", "reach").agg(F.count("*").alias("times"), F.min(F.struct(*row, "start", "n")).alias("first"))
     groups = stage(groups, "repeat_groups")
-    whole = shared.join(groups.where("times > 1").select("anchor", "reach"), ["anchor", "reach"]).select("id", "copy", "start", "n")
+    whole = shared.join(groups.where("times > 1").select("anchor", "reach"), ["anchor", "reach"]).select(*row, "start", "n")
 
     # An anchor with an extended run of its own may still share windows with its other occurrences: one for each run stands for all.
     mixed_anchors = groups.groupBy("anchor").agg(F.min("times").alias("least")).where("least = 1").select("anchor")
-    partial = groups.join(stage(mixed_anchors, "repeat_mixed"), "anchor").select("first.*").groupBy("id", "copy").agg(F.collect_set(place).alias("places"))
-    partial = partial.select(F.col("id").alias("p_id"), F.col("copy").alias("p_copy"), "places")
-    texts = docs.repartition("id")
-    asked = windows_of(texts.join(partial, F.col("id").eqNullSafe(F.col("p_id")) & (F.col("copy") == F.col("p_copy"))).select("id", "text", "copy", "places"), window)
+    partial = groups.join(stage(mixed_anchors, "repeat_mixed"), "anchor").select("first.*").groupBy(*row).agg(F.collect_set(place).alias("places"))
+    # Dealt by what both joins need, so the texts are shuffled once.
+    texts = docs.repartition(*row)
+    asked = stage(windows_of(texts.join(partial, row).select("id", "text", *row, "places"), window), "repeat_windows")
     again = asked.groupBy("w1", "w2").agg(F.count("*").alias("times")).where("times > 1").select("w1", "w2")
-    single = asked.join(again, ["w1", "w2"]).select("id", "copy", "start", F.lit(1).alias("n"))
-    spans = whole.unionByName(single).groupBy("id", "copy").agg(F.collect_set(place).alias("spans"))
-    spans = spans.select(F.col("id").alias("s_id"), F.col("copy").alias("s_copy"), "spans")
-    met = texts.join(spans, F.col("id").eqNullSafe(F.col("s_id")) & (F.col("copy") == F.col("s_copy")), "left")
+    single = asked.join(again, ["w1", "w2"]).select(*row, "start", F.lit(1).alias("n"))
+    spans = whole.unionByName(single).groupBy(*row).agg(F.collect_set(place).alias("spans"))
+    met = texts.join(spans, row, "left")
     return cut_out(met.select("id", "text", "spans"), window).withColumnRenamed("id", id_col)
