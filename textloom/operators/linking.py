@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from textloom.functions.text import shingles
+from textloom.tables import stage
+
+
+#: An index of up to so many shingles of passages is sent to all tasks, and the texts' shingles stay where they are; a larger one is joined with.
+MOST_SHINGLES = 500_000
 
 
 def quotations(texts: DataFrame, passages: DataFrame, text_words: Column, passage_words: Column, text_id: str, passage_id: str, n: int = 3, least_words: int = 4, threshold: float = 0.5) -> DataFrame:
@@ -20,6 +25,7 @@ def quotations(texts: DataFrame, passages: DataFrame, text_words: Column, passag
     index = passages.select(passage_id, passage_words.alias("w")).where(F.size("w") >= least_words).select(passage_id, shingles(F.col("w"), n).alias("s")).where(F.size("s") > 0)
     sizes = index.select(passage_id, F.size("s").cast("long").alias("n_passage"), F.explode("s").alias("shingle"))
     said = texts.select(text_id, text_words.alias("w")).select(text_id, F.explode(shingles(F.col("w"), n)).alias("shingle"))
+    sizes = F.broadcast(sizes) if sizes.limit(MOST_SHINGLES + 1).count() <= MOST_SHINGLES else sizes
     shared = said.join(sizes, "shingle").groupBy(text_id, passage_id, "n_passage").agg(F.count("*").alias("n_shared"))
     return shared.withColumn("score", F.col("n_shared") / F.col("n_passage")).where(F.col("score") >= threshold)
 
@@ -35,29 +41,40 @@ def without_known(links: DataFrame, known: DataFrame, keys: list[str]) -> DataFr
 
 
 def tfidf(docs: DataFrame, id_col: str, words: Column) -> DataFrame:
-    """(id, term, weight) with tf = n / length and idf = ln(N / (df + 1)) + 1; N counts documents with words or without."""
+    """(id, term, df, weight) with tf = n / length and idf = ln(N / (df + 1)) + 1; N counts documents with words or without."""
     docs = docs.select(id_col, words.alias("w"))
     terms = docs.select(id_col, F.size("w").alias("length"), F.explode("w").alias("term")).groupBy(id_col, "length", "term").agg(F.count("*").alias("n"))
     df = terms.groupBy("term").agg(F.count("*").alias("df"))
     total = docs.agg(F.count("*").alias("n_docs"))
     weight = F.col("n") / F.col("length") * (F.log(F.col("n_docs") / (F.col("df") + 1)) + 1)
-    return terms.join(df, "term").join(F.broadcast(total), how="cross").select(id_col, "term", weight.alias("weight"))  # one row
+    return terms.join(df, "term").join(F.broadcast(total), how="cross").select(id_col, "term", "df", weight.alias("weight"))  # one row
 
 
 def related(docs: DataFrame, id_col: str, group_col: str, words: Column, threshold: float = 0.3, top: int = 5) -> DataFrame:
     """(id, other, similarity, place): for each document the most similar ones of other groups.
 
-    Cosine over TF-IDF vectors, by a self-join on terms: only documents that
-    share a term ever meet.
+    Cosine over TF-IDF vectors. With the terms of every document in one order,
+    the rarest first, what two documents share from some term on weighs at most
+    as much as the rest of either vector from there on. So a pair can only
+    reach the threshold if it meets in a term before the rest gets too light,
+    and the frequent terms, which all documents share, never make pairs. The
+    pairs that meet are then measured by all terms.
     """
     v = tfidf(docs, id_col, words)
     norms = v.groupBy(id_col).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
-    v = v.join(norms, id_col).join(docs.select(id_col, group_col), id_col).select(F.col(id_col).alias("a"), F.col(group_col).alias("ga"), "term", (F.col("weight") / F.col("norm")).alias("wa"))
-    other = v.select(F.col("a").alias("b"), F.col("ga").alias("gb"), "term", F.col("wa").alias("wb"))
-    pairs = v.join(other, "term").where("ga <> gb").groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("similarity"))
-    pairs = pairs.withColumn("similarity", F.round("similarity", 6)).where(F.col("similarity") >= threshold)
+    v = v.join(norms, id_col).select(F.col(id_col).alias("a"), "term", "df", (F.col("weight") / F.col("norm")).alias("w"))
+    v = stage(v, "tfidf")
+    rest = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("a").orderBy("df", "term").rowsBetween(Window.currentRow, Window.unboundedFollowing)))
+    groups = docs.select(F.col(id_col).alias("a"), F.col(group_col).alias("g"))
+    early = v.withColumn("rest", rest).where(F.col("rest") >= threshold - 1e-5).join(groups, "a").select("a", "g", "term")
+    early = stage(early, "tfidf_early")
+    other = early.select(F.col("a").alias("b"), F.col("g").alias("gb"), "term")
+    pairs = early.join(other, "term").where((F.col("g") != F.col("gb")) & (F.col("a") < F.col("b"))).select("a", "b").distinct()
+    both = pairs.join(v.select("a", "term", F.col("w").alias("wa")), "a").join(v.select(F.col("a").alias("b"), "term", F.col("w").alias("wb")), ["b", "term"])
+    met = both.groupBy("a", "b").agg(F.round(F.sum(F.col("wa") * F.col("wb")), 6).alias("similarity")).where(F.col("similarity") >= threshold)
+    met = met.withColumn("x", F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))).select("x.*", "similarity")
     place = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("similarity"), "b"))
-    return pairs.withColumn("place", place.cast("long")).where(F.col("place") <= top).select(F.col("a").alias(id_col), F.col("b").alias("other"), "similarity", "place")
+    return met.withColumn("place", place.cast("long")).where(F.col("place") <= top).select(F.col("a").alias(id_col), F.col("b").alias("other"), "similarity", "place")
 
 
 def shared_chains(chains: DataFrame, item: str, key: str, length: str, least_length: int = 3, least: int = 2, most: int = 20) -> DataFrame:

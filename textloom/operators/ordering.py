@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from textloom.tables import stage
+
 
 def siblings(rows: DataFrame, parent: list[str], order: list[Column], path: str) -> DataFrame:
     """With ``local_index`` from 1 and the paths ``prev`` and ``next`` among siblings."""
@@ -26,11 +28,27 @@ def running_number(rows: DataFrame, block: list[str], order: list[Column], count
     return rows.join(per_block, block).withColumn(name, F.when(counted, F.col("_before") + inside)).drop("_before")
 
 
+def next_keys(rows: DataFrame, by: list[str], key: str) -> DataFrame:
+    """(by, key, next) of distinct (by, key): the next larger key of the same group.
+
+    A group may be most of the table, so keys are dealt by range and each range
+    is ordered by itself; only the least key of every range is looked at across
+    ranges.
+    """
+    dealt = stage(rows.select(*by, key).where(F.col(key).isNotNull()).distinct().repartitionByRange(*by, key).withColumn("_range", F.spark_partition_id()), "ranges")
+    inside = dealt.withColumn("_next", F.lead(key).over(Window.partitionBy(*by, "_range").orderBy(key)))
+    firsts = dealt.groupBy(*by, "_range").agg(F.min(key).alias("_first"))
+    firsts = firsts.withColumn("_first", F.lead("_first").over(Window.partitionBy(*by).orderBy("_range")))
+    names = {c: f"_f{i}" for i, c in enumerate([*by, "_range"])}
+    firsts = firsts.withColumnsRenamed(names)
+    same = [F.col(c).eqNullSafe(F.col(f)) for c, f in names.items()]
+    return inside.join(firsts, same, "left").select(*by, key, F.coalesce("_next", "_first").alias("next"))
+
+
 def sequence_gaps(rows: DataFrame, by: list[str], number: str) -> DataFrame:
     """(by, after, before, missing): where consecutive numbers aren't consecutive."""
-    w = Window.partitionBy(*by).orderBy(number)
-    out = rows.withColumn("before", F.lead(number).over(w)).where(F.col("before") > F.col(number) + 1)
-    return out.select(*by, F.col(number).alias("after"), "before", (F.col("before") - F.col(number) - 1).alias("missing"))
+    out = next_keys(rows, by, number).where(F.col("next") > F.col(number) + 1)
+    return out.select(*by, F.col(number).alias("after"), F.col("next").alias("before"), (F.col("next") - F.col(number) - 1).alias("missing"))
 
 
 def runs(rows: DataFrame, by: list[str], order: list[Column], value: str) -> DataFrame:
@@ -41,15 +59,25 @@ def runs(rows: DataFrame, by: list[str], order: list[Column], value: str) -> Dat
     return numbered.groupBy(*by, "run", value).agg(F.count("*").alias("n"), F.min("_at").cast("long").alias("first"))
 
 
+#: Wanted words up to this number are sent to all tasks.
+MOST_WANTED = 200_000
+
+
 def context_windows(rows: DataFrame, id_col: str, words: Column, wanted: DataFrame, radius: int = 10, most: int = 3) -> DataFrame:
-    """(word, id, position, context, place): up to ``most`` places of each wanted word, with the words around it."""
-    w = rows.select(id_col, words.alias("w")).select(id_col, "w", F.posexplode("w").alias("position", "word"))
-    hits = w.join(wanted.select("word").distinct(), "word")
+    """(word, id, position, context, place): up to ``most`` places of each wanted word, with the words around it.
+
+    Only (word, id, position) is ranked; the few places that win meet their
+    texts again.
+    """
+    named = wanted.select("word").distinct()
+    named = F.broadcast(named) if named.limit(MOST_WANTED + 1).count() <= MOST_WANTED else named
+    hits = rows.select(id_col, F.posexplode(words).alias("position", "word")).join(named, "word")
     place = F.row_number().over(Window.partitionBy("word").orderBy(id_col, "position"))
     first = hits.withColumn("place", place.cast("long")).where(F.col("place") <= most)
     start = F.greatest(F.col("position") - radius, F.lit(0))
     context = F.array_join(F.slice("w", start + 1, F.col("position") - start + 1 + radius), " ")
-    return first.select("word", id_col, F.col("position").cast("long").alias("position"), context.alias("context"), "place")
+    met = first.join(rows.select(id_col, words.alias("w")), id_col)
+    return met.select("word", id_col, F.col("position").cast("long").alias("position"), context.alias("context"), "place")
 
 
 def stratified_sample(rows: DataFrame, strata: list[str], id_col: str, each: int, seed: str = "sample") -> DataFrame:

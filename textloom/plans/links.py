@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions.nested import jaccard
 from textloom.functions.text import latin_tokens, tokens
-from textloom.operators import graph, linking, merging, resolving
+from textloom.operators import graph, linking, merging, ordering, resolving
 from textloom.plans.registry import query
 from textloom.tables import table
 
@@ -152,9 +152,11 @@ p AS (SELECT doc_id, s, lead(doc_id) OVER o AS other, lead(s) OVER o AS t FROM w
 SELECT doc_id, other, len(list_intersect(s, t)) / (len(s) + len(t) - len(list_intersect(s, t))) AS jaccard FROM p WHERE other IS NOT NULL
 """.replace("\\\\", "\\"))
 def jaccard_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents").select("doc_id", "lang", F.array_distinct(tokens(F.lower("text"))).alias("s"))
-    pairs = graph.next_of(d, ["lang"], [F.col("doc_id")], ["doc_id", "s"])
-    return pairs.where("next_doc_id is not null").select("doc_id", F.col("next_doc_id").alias("other"), jaccard(F.col("s"), F.col("next_s")).alias("jaccard"))
+    d = table(spark, sf, "documents")
+    pairs = ordering.next_keys(d, ["lang"], "doc_id").where("next is not null")
+    sets = d.select("doc_id", F.array_distinct(tokens(F.lower("text"))).alias("s"))
+    met = pairs.join(sets, "doc_id").join(sets.select(F.col("doc_id").alias("next"), F.col("s").alias("t")), "next")
+    return met.select("doc_id", F.col("next").alias("other"), jaccard(F.col("s"), F.col("t")).alias("jaccard"))
 
 
 @query("""
