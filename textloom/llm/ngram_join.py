@@ -14,9 +14,10 @@ and the later orders look at the sets that are left.
 
 Equal sets are one class and enter the join once. Candidates are verified in
 two steps, so that a large group of near copies doesn't make a pair of every
-two: first each class is compared with the one it shares most prefix tokens
-with among the leaders of its tokens; then only pairs from different
-components are left, and of each token's classes those outside its largest
+two: first each class is compared with the leaders of its tokens, where the
+leader of a token's classes is the one with the least of four hashes, which
+the token picks, so that a large group has few of them; then only pairs from
+different components are left, and of each token's classes those outside its largest
 component are compared with the rest. Both steps intersect the filters of all
 orders before any set is fetched, and every pair that passes is verified
 exactly.
@@ -358,16 +359,16 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         prefixes = stage(prefixes.join(held, ["key", "regime"]).select("key", "regime", F.array_append("prefixes", F.col("prefix")).alias("prefixes")), "ngram_prefixes")
     marks = sets.select("key", "n", "map")
 
-    # First each class against the leader that seems most like it. Pairs come from the first order; the others are held against them.
+    # First each class against the leaders of its tokens. Pairs come from the first order; the others are held against them.
     by = ["regime", "token"]
     first = prefixes.select("key", "regime", F.explode(F.col("prefixes")[0]).alias("token"))
-    leaders = first.groupBy(*by).agg(F.min_by("key", F.xxhash64("key", "token")).alias("leader"), F.count("*").alias("members")).where("members > 1").drop("members")
+    leaders = first.groupBy(*by).agg(F.min_by("key", F.xxhash64("key", F.col("token").bitwiseAND(6))).alias("leader"), F.count("*").alias("members")).where("members > 1").drop("members")
     first = stage(first.join(stage(leaders, "ngram_leaders"), by), "ngram_first")
     pairs = first.select(F.col("key").alias("a"), F.col("leader").alias("b")).where("a <> b").distinct()
     of = lambda k: marks.select(F.col("key").alias(k), F.col("n").alias(f"n{k}"), F.col("map").alias(f"m{k}"))
     pairs = pairs.join(of("a"), "a").join(of("b"), "b").where(near(per_cent, "na", "nb", "ma", "mb"))
-    best = pairs.groupBy("a").agg(F.min_by("b", F.struct(differing("ma", "mb"), "b")).alias("b"))
-    links = stage(verified(passing(best, prefixes, orders), sets, per_cent), "ngram_links")
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    links = stage(verified(passing(pairs, prefixes, orders), sets, per_cent), "ngram_links")
     grouped = stage(components(links), "ngram_groups").select(F.col("node").alias("key"), "component")
 
     # Then all other pairs that span two components: of each token's classes, those outside its largest component against the rest.
