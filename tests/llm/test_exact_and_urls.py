@@ -76,6 +76,12 @@ def test_urls(spark, broadcast):
     assert got == [(1, "com/en/", "block"), (2, "example.com/en/7", "allow"), (3, None, "allow"), (4, None, "allow"), (5, None, "allow"), (6, "net/de/", "allow"), (7, "net/de/", "allow"), (8, "example.net/de/8", "block"), (8, "example.net/de/8", "block"), (9, None, "allow"), (10, None, "allow")]
 
 
+def test_very_long_urls(spark):
+    rows = [(1, "http://" + "a." * 60_000 + "com/en/" + "x/" * 60_000), (None, "http://" + "." * 1000 + "net/de/"), (2, "http://com./en/"), (3, "http://.com/en/")]
+    got = {r["page_id"]: r["rule"] for r in url_filter.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), url_rules(spark), ["page_id"]).collect()}
+    assert got == {1: "com/en/", None: "net/de/", 2: None, 3: "com/en/"}
+
+
 def test_mix_meets_targets(spark):
     rows = [(i, "w " * (i % 7), "abc"[i % 3] if i % 10 else None, 1) for i in range(400)] + [(400, None, "a", 1), (401, "w w", "tiny", 1), (401, "w w", "tiny", 1)]
     d = spark.createDataFrame(rows, "doc_id long, text string, source string, size int")

@@ -457,3 +457,15 @@ def test_arrow_types_of_ids(spark):
     d = spark.createDataFrame([("a", "x y z"), ("b", "x y z")], "doc_id string, text string")
     assert {r["component_id"] for r in ngram_join.ngram_join(d).collect()} == {"a"}
     assert pa.array([1]).type == pa.int64()
+
+
+def test_no_column_of_the_documents_meets_those_of_the_model(spark):
+    d = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").limit(80)
+    extra = {c: F.col("doc_id").cast("string") for c in ("prediction", "features", "raw", "x", "probability", "rawPrediction", "score", "predicted", "toxic_predicted", "_doc")}
+    labels = table(spark, "/root/testdata/sf0.01", "labels").withColumn("toxic", (F.col("doc_id") % 3 == 0).cast("int"))
+    clash = d.withColumns(extra)
+    out = toxicity.drop_toxic(clash, labels)
+    assert out.columns == clash.columns and all(r["score"] == r["predicted"] == r["raw"] == str(r["doc_id"]) for r in out.collect())
+    model = toxicity.fit(d, labels)
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score(d, model).collect()}
+    assert {r["doc_id"]: r["score"] for r in toxicity.score(clash, model).collect()} == scores

@@ -10,8 +10,11 @@ haven't seen calibrates it.
 
 The classifier is fitted on at most ``max_rows`` labelled documents, chosen by
 a hash of their id; every document is scored, over its whole text, in one pass
-without a shuffle. Terms of a training document are weighed without that
-document's own label, so the lexicon doesn't flatter the rows it came from.
+without a shuffle. A quarter of the rows is for calibration alone: neither the
+lexicon nor the trees have seen it. Terms of the other training documents are
+weighed without that document's own label, so the lexicon doesn't flatter the
+rows it came from. A term of the lexicon has to occur in three toxic documents
+of the training rows, so their number bounds it.
 
 Defined results: a null or empty text is scored like any other, from features
 that are all zero; labels that are null are not used, and of several labels of
@@ -134,7 +137,7 @@ class Features:
 
 def with_features(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", label_col: str | None = None, only: list[str] | None = None) -> DataFrame:
     """``docs`` (or its columns ``only``) with an array ``features``; labels serve to leave a row's own label out."""
-    shared = docs.sparkSession.sparkContext.broadcast(lexicon)  # as large as max_terms allows
+    shared = docs.sparkSession.sparkContext.broadcast(lexicon)  # of at most max_rows documents
     keep = only or docs.columns
     schema = docs.select(*keep).schema.add("features", T.ArrayType(T.DoubleType()))
 
@@ -149,7 +152,7 @@ def with_features(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", lab
     return docs.mapInArrow(run, schema)
 
 
-def learn_lexicon(train: DataFrame, text_col: str, label_col: str, max_terms: int) -> Lexicon:
+def learn_lexicon(train: DataFrame, text_col: str, label_col: str) -> Lexicon:
     """The lexicon of a bounded set of labelled rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +171,7 @@ def learn_lexicon(train: DataFrame, text_col: str, label_col: str, max_terms: in
     a, b = n.get(1, 0), n.get(0, 0)
     counted = train.select(text_col, label_col).mapInArrow(run, "term string, toxic long, other long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     odds = F.log((F.col("toxic") + 0.5) / (a + 1)) - F.log((F.col("other") + 0.5) / (b + 1))
-    best = counted.where((F.col("toxic") >= 3) & (odds >= WEAK)).orderBy((odds * F.sqrt("toxic")).desc(), "term").limit(max_terms)
+    best = counted.where((F.col("toxic") >= 3) & (odds >= WEAK))
     counts = {r["term"]: (r["toxic"], r["other"]) for r in best.collect()}
     for w in INSULTS:
         x = counts.get(w + "$", (0, 0))
@@ -188,26 +191,26 @@ def held_out(id_col: str) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = 20_000, max_terms: int = 20_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = 20_000) -> Model:
     """Learns from labelled documents that aren't held out, at most about ``max_rows`` of them.
 
-    ``max_rows`` bounds the rows and ``max_terms`` the lexicon that is sent to all tasks.
+    ``max_rows`` bounds the rows, and with them the lexicon that is sent to all tasks.
     """
     labels = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.max(label_col).cast("int").alias("_label"))
     labels = stage(labels, "toxic_labels")
     n = labels.count()
     some = labels.where(F.pmod(F.xxhash64(id_col, F.lit("fit")), F.lit(1_000_000)) < int(1e6 * min(1.0, max_rows / max(1, n))))
     train = docs.select(id_col, text_col).join(F.broadcast(some), id_col)  # at most about max_rows ids
-    train = stage(train, "toxic_train")
-    lexicon = learn_lexicon(train, text_col, "_label", max_terms)
+    part = F.pmod(F.xxhash64(id_col, F.lit("part")), F.lit(4))
+    train = stage(train.withColumn("_seen", F.when(part > 0, F.col("_label"))), "toxic_train")
+    lexicon = learn_lexicon(train.where("_seen is not null"), text_col, "_seen")
     rows = lexicon.toxic + lexicon.other
     if not lexicon.toxic or not lexicon.other:
         return Model(lexicon, None, None, lexicon.toxic / max(1, rows))
-    made = with_features(train, lexicon, text_col, "_label", [id_col, "_label"]).select(id_col, F.col("_label").cast("double").alias("label"), "features")
+    made = with_features(train, lexicon, text_col, "_seen", ["_label", "_seen"]).select(F.col("_label").cast("double").alias("label"), "_seen", "features")
     made = stage(made, "toxic_features").withColumn("x", array_to_vector("features"))
-    part = F.pmod(F.xxhash64(id_col, F.lit("part")), F.lit(4))
-    trees = GBTClassifier(featuresCol="x", labelCol="label", maxIter=20, maxDepth=3, stepSize=0.2, seed=7).fit(made.where(part > 0))
-    raw = trees.transform(made.where(part == 0)).select("label", vector_to_array("probability")[1].alias("raw"))
+    trees = GBTClassifier(featuresCol="x", labelCol="label", maxIter=20, maxDepth=3, stepSize=0.2, seed=7).fit(made.where("_seen is not null"))
+    raw = trees.transform(made.where("_seen is null")).select("label", vector_to_array("probability")[1].alias("raw"))
     calibration = None if raw.isEmpty() else IsotonicRegression(featuresCol="raw", labelCol="label").fit(raw)
     return Model(lexicon, trees, calibration, lexicon.toxic / rows)
 

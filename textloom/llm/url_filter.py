@@ -1,7 +1,8 @@
 """URL filtering against host and path rules.
 
-Each URL is expanded into expressions: every host suffix joined with every
-path prefix of a length that some rule has. Expressions and rules meet in an
+Each URL is expanded into expressions: every host suffix of as many labels as
+some rule has, joined with every path prefix of a length that some rule has, so
+a long URL makes no more of them than a short one. Expressions and rules meet in an
 equi-join on the first 32 bits of their SHA-256; the full digest then confirms
 a hit, and of the confirmed rules the longest wins. The rules may be many:
 they are sent to all tasks only if there are at most ``broadcast_rules`` of
@@ -13,7 +14,8 @@ the expansion and the choice of a rule need a single shuffle of the URLs.
 
 Defined results: a null URL or one without ``://`` has empty host and path; a
 host is compared after lower-casing A-Z and otherwise as written, port
-included; repeated rows are returned as often as they come in; an empty table
+included, and the same for hosts and paths of any length; rows with a null key
+are judged too; repeated rows are returned as often as they come in; an empty table
 gives an empty result; columns other than the keys and the URL are not read.
 """
 
@@ -38,10 +40,11 @@ def with_host_path(df: DataFrame, url: str) -> DataFrame:
     return df.withColumns({"host": host, "path": path}).drop("_rest")
 
 
-def host_suffixes(host: Column) -> Column:
-    """The host and what is left of it after each dot."""
-    parts = F.split(host, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+def host_suffixes(host: Column, labels: list[int]) -> Column:
+    """The last labels of a host, as many as in ``labels``; as long as it has so many."""
+    has = F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
+    each = [F.when(has >= n, F.substring_index(host, ".", -n)) for n in labels]
+    return F.array_compact(F.array(*each)) if each else F.array().cast("array<string>")
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, keys: list[str], url: str = "url", default: str = "allow", broadcast_rules: int = 200_000, salts: int = 64) -> DataFrame:
@@ -55,13 +58,14 @@ def judge_urls(pages: DataFrame, rules: DataFrame, keys: list[str], url: str = "
     rules = rules.select(lower_ascii(F.col("host")).alias("rule_host"), F.coalesce("path", F.lit("")).alias("rule_path"), "action")
     rules = rules.groupBy("rule_host", "rule_path").agg(F.max("action").alias("action"))
     rules = rules.withColumn("rule", F.concat("rule_host", "rule_path")).withColumn("digest", F.sha2("rule", 256))
-    rules = rules.select(F.substring("digest", 1, SHORT).alias("short"), F.col("digest").alias("rule_digest"), "rule", F.length("rule_host").alias("host_length"), "action").where(F.col("digest").isNotNull())
+    rules = rules.select(F.substring("digest", 1, SHORT).alias("short"), F.col("digest").alias("rule_digest"), "rule", F.length("rule_host").alias("host_length"), F.size(F.split("rule_host", r"\.")).alias("labels"), "action").where(F.col("digest").isNotNull())
     # Distinct lengths of rule paths: as many as the longest rule path has characters, at most.
     sizes = sorted(r[0] for r in rules.select((F.length("rule") - F.col("host_length")).alias("n")).distinct().collect())
 
     urls = with_host_path(pages.groupBy(*keys, url).agg(F.count("*").alias("_copies")), url)
     prefixes = F.array(*[F.when(F.length("path") >= n, F.left("path", F.lit(n))) for n in sizes]) if sizes else F.array().cast("array<string>")
-    hosts = host_suffixes(F.col("host"))
+    labels = sorted(r[0] for r in rules.select("labels").distinct().collect())  # as many as the longest rule host has labels, at most
+    hosts = host_suffixes(F.col("host"), labels)
     expressions = F.flatten(F.transform(hosts, lambda h: F.transform(F.filter(prefixes, lambda p: p.isNotNull()), lambda p: F.sha2(F.concat(h, p), 256))))
     asked = urls.withColumn("digest", F.explode_outer(expressions)).withColumn("short", F.substring("digest", 1, SHORT))
     if rules.limit(broadcast_rules + 1).count() <= broadcast_rules:
