@@ -138,10 +138,11 @@ def slice_of(i: int, per_cent: int, orders: int) -> tuple[int, int]:
     """Where slice ``i`` of the 63-bit hash space starts and ends.
 
     A set is gone if it alone holds as many tokens of a slice as its prefix
-    has. The first slice is twice a prefix, so a set stays only if about half
-    of its tokens there are shared; the others share what is left of the space.
+    has. The first slice is half as wide again as a prefix, so a set stays only
+    if a third of its tokens there are shared; the others share what is left of
+    the space.
     """
-    first = 2**63 if orders == 1 else int(2**63 * min(0.5, 2 * (1 - per_cent / 100)))
+    first = 2**63 if orders == 1 else int(2**63 * min(0.5, 1.5 * (1 - per_cent / 100)))
     width = (2**63 - first) // max(1, orders - 1)
     return (0, first) if i == 0 else (first + (i - 1) * width, first + i * width)
 

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 #: Open examples of a task; only what a bin gives back comes on top.
 POOL = 256
 #: Words in a worker's cache (twice as many at most), and the longest word kept in it.
-CACHE, CACHED_LENGTH = 300_000, 64
+CACHE, CACHED_LENGTH = 120_000, 64
 #: What the vocabularies of this kind take apart in a word of Latin-1: runs of letters, single digits, runs of other signs.
 PART = re.compile("[A-Za-zªµºÀ-ÖØ-öø-ÿ]+|[0-9²³¹¼½¾]|[^A-Za-zªµºÀ-ÖØ-öø-ÿ0-9²³¹¼½¾]+")
 #: To see whether a vocabulary is of this kind.

@@ -55,7 +55,7 @@ FEATURES = ["strong_density", "weak_density", "strong_count", "weak_count", "sco
 SHORTEST, LONGEST, NEAR, PRIOR = 4, 8, 3, 5
 STRONG, WEAK = 4.0, 2.0
 EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»„“”‘’¡¿…–—"
-MEMO = 60_000
+MEMO = 40_000
 
 
 def plain(token: str) -> tuple[str, bool]:
