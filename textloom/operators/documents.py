@@ -41,7 +41,8 @@ def stacked(sources: list[DataFrame], number: str) -> DataFrame:
 
 def lean_maps(by_lang: Column, fields: list[str]) -> Column:
     """A map of language -> struct as a struct of maps of language -> field; languages without a field are left out of its map."""
-    return F.struct(*[F.map_filter(F.transform_values(by_lang, lambda _, v, f=f: v[f]), lambda _, v: v.isNotNull()).alias(f) for f in fields])
+    one = lambda f: F.map_filter(F.transform_values(by_lang, lambda _, v: v[f]), lambda _, v: v.isNotNull())
+    return F.struct(*[one(f).alias(f) for f in fields])
 
 
 def aligned_texts(chunks: Column, texts: Column, field: str) -> Column:
