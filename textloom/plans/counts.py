@@ -68,8 +68,7 @@ KEYWORDS = r"list_distinct(list_filter(regexp_extract_all(lower(text), '[a-z'']+
 
 
 @query(rf"""
-WITH k AS (SELECT unnest({KEYWORDS}) AS a, unnest(['quality:' || quality, 'toxic:' || toxic]) AS b FROM documents JOIN labels USING (doc_id) WHERE FALSE),
-x AS (SELECT w.a, t.b, count(*) AS n FROM (SELECT doc_id, unnest({KEYWORDS}) AS a FROM documents) w JOIN (SELECT doc_id, unnest(['quality:' || quality, 'toxic:' || toxic]) AS b FROM labels) t USING (doc_id) GROUP BY ALL),
+WITH x AS (SELECT w.a, t.b, count(*) AS n FROM (SELECT doc_id, unnest({KEYWORDS}) AS a FROM documents) w JOIN (SELECT doc_id, unnest(['quality:' || quality, 'toxic:' || toxic]) AS b FROM labels) t USING (doc_id) GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY b ORDER BY n DESC, a) AS place FROM x WHERE n >= 3)
 SELECT a, b, n, place FROM r WHERE place <= 20
 """)
