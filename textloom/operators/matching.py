@@ -18,8 +18,7 @@ def contained(texts: DataFrame, id_col: str, text: Column, phrases: DataFrame, p
     """(id, phrase_id): which texts hold which phrases, anywhere, as ``contains`` says.
 
     An equi-join on the first ``size`` characters of a phrase, and only what
-    meets there is searched; phrases that are shorter than that are compared
-    one by one with every text, which is for few of them.
+    meets there is searched; shorter phrases are joined whole.
     """
     named = phrases.select(F.col(phrase_id).alias("_pid"), F.col(phrase).alias("_phrase")).where(F.col("_phrase") != "")
     long, short = named.where(F.length("_phrase") >= size), named.where(F.length("_phrase") < size)
@@ -28,10 +27,10 @@ def contained(texts: DataFrame, id_col: str, text: Column, phrases: DataFrame, p
     grams = F.array_distinct(F.regexp_extract_all("_text", F.lit(f"(?s)(?=(.{{{size}}}))"), 1))
     met = said.select("_id", F.explode(grams).alias("_gram")).join(_sent(long.withColumn("_gram", F.left("_phrase", F.lit(size)))), "_gram").drop("_gram")
     found = said.join(met, "_id").where(F.col("_text").contains(F.col("_phrase"))).select("_id", "_pid")
+    # What is shorter is one of the runs of its own length.
+    runs = F.flatten(F.array(*[F.array_distinct(F.regexp_extract_all("_text", F.lit(f"(?s)(?=(.{{{k}}}))"), 1)) for k in range(1, size)]))
     if not short.isEmpty():
-        few = F.broadcast(short.agg(F.collect_set(F.struct("_pid", "_phrase")).alias("_all")))  # under size characters: a bounded set
-        hits = said.join(few).select("_id", F.explode(F.filter("_all", lambda x: F.col("_text").contains(x["_phrase"]))["_pid"]).alias("_pid"))
-        found = found.unionByName(hits)
+        found = found.unionByName(said.select("_id", F.explode(runs).alias("_phrase")).join(_sent(short), "_phrase").select("_id", "_pid"))
     return found.distinct().select(F.col("_id").alias(id_col), F.col("_pid").alias(phrase_id))
 
 

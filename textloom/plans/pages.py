@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions.text import latin_tokens
-from textloom.operators import chapters, documents, lexicon, matching, search
+from textloom.operators import chapters, counting, documents, lexicon, matching, search
 from textloom.plans.registry import query
 from textloom.tables import table
 
@@ -277,8 +277,6 @@ def chapter_spine(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("WITH p AS (SELECT user_id, count_if(event_type IN ('view', 'click')) AS s, count(*) AS n, avg(value) AS v FROM events GROUP BY 1) SELECT user_id, (s > 0 AND 2 * s >= n) AS is_source, user_id % 10 = 0 OR (s > 0 AND 2 * s >= n) AS is_excluded FROM p")
 def chapter_excluded(spark: SparkSession, sf: str) -> DataFrame:
-    from textloom.operators import counting
-
     profile = counting.role_profile(table(spark, sf, "events"), "user_id", "event_type", ["view", "click"]).select("user_id", "is_source")
     return chapters.excluded(profile, F.col("user_id") % 10 == 0)
 
