@@ -92,3 +92,25 @@ kept AS (SELECT r, list(x ORDER BY i) AS kept FROM (SELECT r, unnest(w) AS x, ge
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed, sha256(array_to_string(coalesce(kept, []), ' ')) AS kept_sha256
 FROM w LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)
 """
+
+KEY = "translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+SQL["op11_line_dedup"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, i, line, {KEY} AS key FROM (SELECT r, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d)),
+common AS (SELECT key FROM l WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10),
+kept AS (SELECT r, list(line ORDER BY i) AS kept FROM l ANTI JOIN common USING (key) GROUP BY r)
+SELECT doc_id, len(lines)::BIGINT AS n_lines, (len(lines) - coalesce(len(kept), 0))::BIGINT AS n_dropped, sha256(array_to_string(coalesce(kept, []), chr(10))) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+SQL["op13_hard_negatives"] = """
+WITH e AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) FOR x IN embedding] AS q FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r AS anchor, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score FROM e a JOIN e b ON a.r <> b.r WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS k FROM s WHERE same),
+n AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score, row_number() OVER (PARTITION BY p.anchor, k ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON s.anchor = p.anchor AND NOT same AND k <= 5 AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import exact_dedup, html_text, mixing, ngram_join, packing, pii, quality_rules, substring_dedup, toxicity, url_filter
+from textloom.llm import exact_dedup, hard_negatives, html_text, line_dedup, mixing, ngram_join, packing, pii, quality_rules, spelling, substring_dedup, toxicity, url_filter
 from textloom.tables import table
 
 RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
@@ -68,4 +68,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, only=["doc_id"]).select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filters, op2_pii_surrogates, op3_ngram_jaccard_join, op4_mixing, op5_html_extraction, op6_quality_rules, op7_substring_dedup, op8_exact_dedup, op9_packing, op10_toxicity)}
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_common_lines(line_dedup.batches_of(table(spark, sf_dir, "documents")))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filters, op2_pii_surrogates, op3_ngram_jaccard_join, op4_mixing, op5_html_extraction, op6_quality_rules, op7_substring_dedup, op8_exact_dedup, op9_packing, op10_toxicity, op11_line_dedup, op12_spelling_variants, op13_hard_negatives)}
