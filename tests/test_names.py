@@ -39,4 +39,4 @@ def test_parts_of_a_chain(spark):
 
 
 def test_transliteration(spark):
-    assert of(spark, names.transliterated, "مُحَمَّدُ بْنُ يَعْقُوبَ", "الشمس ( عليه السلام )", "الكاظم", None) == ["Muhammad ibn Ya'qub", "Ash-shms (a)", "Al-Kazim", None]
+    assert of(spark, names.transliterated, "مُحَمَّدُ بْنُ يَعْقُوبَ", "الشمس ( عليه السلام )", "الكاظم", "  القمر  abc (1) ", "خفّاف ــــــت", "", None) == ["Muhammad ibn Ya'qub", "Ash-shms (a)", "Al-Kazim", "Al-qmr abc (1)", "Khfff t", "", None]

@@ -17,10 +17,20 @@ def test_wikitext(spark):
     assert r[3] == "He was a trustworthy narrator of the city, who taught many of those who came." and r[4] == "ae}f"
 
 
-def test_markdown_and_safe_html(spark):
-    r = one(spark, wiki.markdown(F.lit("# T\n\n**b** and *i* [x](http://y)\n\n- one\n- two\n\n```arabic\nنص\n```")), wiki.sanitized(F.lit('<p onclick="x">a  <script>s</script><a href="javascript:1">j</a><a class=q href="https://e/">k</a><img src=x></p>')))
-    assert r[0] == '<h1>T</h1>\n<p><strong>b</strong> and <em>i</em> <a href="http://y">x</a></p>\n<ul>\n<li>one</li>\n<li>two</li>\n</ul>\n<div class="tafsir-arabic" lang="ar" dir="rtl">نص</div>'
-    assert r[1] == '<p>a <a>j</a><a href="https://e/">k</a></p>'
+def test_wikitext_odd_cases(spark):
+    w = F.lit("{{Infobox| Grade = '''[[Hasan|good]]''' | Teachers = * [[A|B]]; C، D <BR/> - E\n}} see [[open and [[File:x.png|a]] [[k]]")
+    r = one(spark, wiki.infobox_field(w, "grade"), wiki.listed_names(w, "Teachers"), wiki.without_markup(w), wiki.with_links(w, False, ("file",)), wiki.without_notes(F.lit('a<ref name="x"/>b<ref>c<b>d</b></ref>e <i>f</i> 1 < 2')), wiki.without_markup(F.lit(None).cast("string")))
+    assert r[0] == "good" and r[1] == ["B", "C", "D", "E"] and r[2].endswith("see [[open and a k") and r[3].endswith("see [[open and  [[k]]") and r[4] == "abe f 1 < 2" and r[5] is None
+    told = [one(spark, wiki.reliability(F.lit(x)))[0] for x in ("He is thiqah.", "a Da'if man", "Hasan of Kufa", "Hasan as a narrator", "nothing", "majhul\nthiqa", "{{x\n|Status=Known\n}} majhul")]
+    assert told == ["Thiqah (Trustworthy)", "Da'if (Weak)", None, "Hasan (Good)", None, "Thiqah (Trustworthy)", "Known"]
+
+
+def test_markdown(spark):
+    of = lambda x: one(spark, wiki.markdown(F.lit(x)))[0]
+    assert of("# T\n\n**b** and *i* [x](http://y)\n\n- one\n- two\n\n```arabic\nنص\n```") == '<h1>T</h1>\n<p><strong>b</strong> and <em>i</em> <a href="http://y">x</a></p>\n<ul>\n<li>one</li>\n<li>two</li>\n</ul>\n<div class="tafsir-arabic" lang="ar" dir="rtl">نص</div>'
+    assert of("a * b * c `x *y* **z**` d * e") == "<p>a * b * c <code>x *y* **z**</code> d * e</p>"
+    assert of("<script>1</script> & [x](javascript:1) `open") == "<p>&lt;script&gt;1&lt;/script&gt; &amp; [x](javascript:1) `open</p>"
+    assert of("1. *a*\n2. b\n\n```py\nx\n\n<y>\n```\nend") == "<ol>\n<li><em>a</em></li>\n<li>b</li>\n</ol>\n<pre>x\n\n&lt;y&gt;</pre>\n<p>end</p>"
 
 
 def test_repairs(spark):

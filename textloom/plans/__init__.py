@@ -1,6 +1,6 @@
 """Registered queries with their SQL."""
 
-from textloom.plans import counts, links, names, order, pages, quality, text
+from textloom.plans import counts, links, markup, names, order, pages, quality, text
 from textloom.plans.registry import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "counts", "links", "names", "order", "pages", "quality", "text"]
+__all__ = ["ORACLE", "QUERIES", "counts", "links", "markup", "names", "order", "pages", "quality", "text"]

@@ -84,3 +84,10 @@ def sections(elements: DataFrame, id_col: str, start: str, continuation: str = "
 def event_log(spark: SparkSession, path: str, session: str | None = None) -> DataFrame:
     rows = spark.read.schema(EVENT).option("mode", "DROPMALFORMED").json(path)
     return rows if session is None else rows.where(F.col("session") == session)
+
+
+def html_files(spark: SparkSession, path: str, keep: str = "*.html") -> DataFrame:
+    """(stem, html) of page files, found recursively; bytes that aren't UTF-8 become marks of that."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", keep).load(path)
+    name = F.element_at(F.split("path", "/"), -1)
+    return files.select(F.regexp_replace(name, r"\.[^.]*$", "").alias("stem"), F.make_valid_utf8(F.col("content").cast("string")).alias("html"))
