@@ -47,6 +47,7 @@ from textloom.tables import stage
 LETTERS = rb"[a-z\xC0-\xFF]"
 #: Code points of a text that are read at a time, words counted in a task before they go on, code points of a shard.
 PIECE, HELD, CAPACITY = 1 << 20, 300_000, 500_000
+SALTS = 64
 
 
 def pieces(text: str) -> Iterator[bytes]:
@@ -190,8 +191,11 @@ def sharded(words: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         parted = met.where("over").withColumn("s", F.expr("explode(array(struct(lo, (lo + hi) div 2 AS hi), struct((lo + hi) div 2 AS lo, hi)))"))
         parted = _keyed(parted.selectExpr("word", "n", "size", "int(s.lo) AS lo", "int(s.hi) AS hi"))
         parts = stage(met.where("over IS NULL").drop("over").unionByName(parted), "spelling_parts")
+    # A length may hold a third of all words, so its rows meet its total under many salts.
     totals = parts.groupBy("size", "lo", "hi").agg(F.ceil(F.count("*") * F.col("size") / F.lit(capacity)).alias("buckets"))
-    return parts.join(totals, ["size", "lo", "hi"]).select("word", "n", "size", "lo", "hi", F.pmod("key", "buckets").alias("bucket"))
+    totals = totals.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = parts.withColumn("salt", F.pmod(F.xxhash64("word"), F.lit(SALTS)).cast("int"))
+    return salted.join(totals, ["size", "lo", "hi", "salt"]).select("word", "n", "size", "lo", "hi", F.pmod("key", "buckets").alias("bucket"))
 
 
 def near_words(words: DataFrame, capacity: int = CAPACITY) -> DataFrame:
