@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.operators import pages, volumes
+from textloom.operators import editions, pages, volumes
 from textloom.plans.markup import ARTICLE, _plain
 from textloom.plans.registry import query
 from textloom.tables import table
@@ -53,3 +53,20 @@ def turn_passages(spark: SparkSession, sf: str) -> DataFrame:
     said = lambda role: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("role") == role, F.struct("at", "text")))), lambda x: x["text"]), "\n")
     g = p.groupBy("volume", "passage").agg(F.max("title_1").alias("title"), said("user").alias("asked"), said("assistant").alias("answered"), F.count_if(F.col("role") == "assistant").alias("n"))
     return g.select("volume", "passage", "title", "asked", F.when(F.col("n") > 0, F.col("answered")).alias("answered"))
+
+
+_BLANK = "trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> ''"
+
+
+@query(f"""
+WITH r AS (SELECT source, doc_id, md5(lower(text)) AS content_id, text FROM documents WHERE {_BLANK}),
+f AS (SELECT source, content_id, min(doc_id) AS first FROM r GROUP BY ALL),
+b AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY first, content_id) - 1 AS block FROM f)
+SELECT source, doc_id, block, length(text) AS n_chars, doc_id = first AS is_first FROM r JOIN b USING (source, content_id)
+""")
+def edition_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """Sources as parts of an edition whose equal texts are one block."""
+    d = table(spark, sf, "documents").select("source", "doc_id", F.md5(F.lower("text")).alias("content_id"), "text")
+    content = d.groupBy("content_id").agg(F.min("text").alias("text"))
+    placed = editions.edition_places(d, content, "source", "doc_id", "content_id", "text")
+    return placed.select("source", "doc_id", "block", F.length("text").cast("long").alias("n_chars"), F.col("first").alias("is_first"))
