@@ -188,5 +188,6 @@ def drop_common_lines(batches: list[DataFrame], id_col: str = "doc_id", text_col
     for own, docs in zip(found[1:], texts[1:], strict=True):
         every, whole = every.unionByName(own), whole.unionByName(docs)
     gone = every.join(common, KEY).groupBy("m1", "m2").agg(F.collect_set(F.struct(*KEY)).alias("gone"))
-    met = whole.repartition("m1", "m2").join(gone, ["m1", "m2"], "left").select("id", "text", "gone")
+    # The smaller side is hashed, so that texts needn't be sorted.
+    met = whole.repartition("m1", "m2").join(gone.hint("shuffle_hash"), ["m1", "m2"], "left").select("id", "text", "gone")
     return without(met).withColumnRenamed("id", id_col)
