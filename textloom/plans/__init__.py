@@ -1,6 +1,6 @@
 """Registered queries with their SQL."""
 
-from textloom.plans import counts, links, markup, names, order, pages, quality, text, variants, volumes
+from textloom.plans import counts, links, markup, names, order, pages, quality, repairs, text, variants, volumes
 from textloom.plans.registry import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "counts", "links", "markup", "names", "order", "pages", "quality", "text", "variants", "volumes"]
+__all__ = ["ORACLE", "QUERIES", "counts", "links", "markup", "names", "order", "pages", "quality", "repairs", "text", "variants", "volumes"]
