@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.operators import validating
+from textloom.operators import changes, validating
 from textloom.plans.registry import query
 from textloom.tables import table
 
@@ -44,3 +44,32 @@ UNION ALL SELECT DISTINCT conv_id, '', 'error', CASE conv_id % 11 WHEN 10 THEN '
 """)
 def nested_violations(spark: SparkSession, sf: str) -> DataFrame:
     return validating.violations(nested_books(table(spark, sf, "conversations")), "conv_id", "doc", validating.BOOK_RULES + validating.PERSON_RULES)
+
+
+@query("""
+SELECT doc_id, 'deleted' AS change FROM documents WHERE doc_id % 10 = 0
+UNION ALL SELECT doc_id, 'updated' FROM documents WHERE doc_id % 10 <> 0 AND doc_id % 7 = 3 AND text <> upper(text)
+UNION ALL SELECT doc_id + 1000000000, 'inserted' FROM documents WHERE doc_id % 13 = 0
+""")
+def changed_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents against a state of them with some left out, some in capitals, and some under a new id."""
+    d = table(spark, sf, "documents")
+    text = F.when(F.col("doc_id") % 7 == 3, F.upper("text")).otherwise(F.col("text"))
+    new = d.where("doc_id % 10 <> 0").withColumn("text", text).unionByName(d.where("doc_id % 13 = 0").withColumn("doc_id", F.col("doc_id") + 1_000_000_000))
+    return changes.changed(d, new, ["doc_id"], ["text", "lang", "source"])
+
+
+@query("""
+WITH u AS (SELECT conv_id, turn, CASE WHEN turn % 3 = 1 THEN '! ' || text ELSE text END AS text, turn % 3 = 1 OR turn % 3 = 2 AND role = 'user' AS patched, CASE WHEN turn % 3 = 2 AND role = 'user' THEN 'asked' ELSE role END AS role FROM conversations)
+SELECT conv_id, turn, md5(text) AS text, role, sum(patched::INT) OVER (PARTITION BY conv_id) AS n_list, patched::INT AS n_row FROM u
+""")
+def patched_turns(spark: SparkSession, sf: str) -> DataFrame:
+    """Updates of turns carried to the lists of their conversations and to the turns' own rows, which then say the same."""
+    c = table(spark, sf, "conversations").withColumn("path", F.concat_ws(":", "conv_id", "turn"))
+    asked = (F.col("turn") % 3 == 2) & (F.col("role") == "user")
+    ups = c.where((F.col("turn") % 3 == 1) | asked).select("path", F.when(F.col("turn") % 3 == 1, F.concat(F.lit("! "), "text")).alias("text"), F.when(asked, "asked").alias("role"))
+    lists = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "path", "role", "text"))).alias("turns"))
+    inside = changes.patched_lists(lists, "conv_id", "turns", "path", ups, ["text", "role"]).select("conv_id", F.col("n_patched").alias("n_list"), F.explode("turns").alias("x")).select("conv_id", "n_list", "x.*")
+    rows = changes.patched_rows(c, "path", ups, ["text", "role"]).select("path", F.col("text").alias("own"), F.col("role").alias("own_role"), F.col("n_patched").alias("n_row"))
+    met = inside.join(rows, "path").where(F.col("text").eqNullSafe(F.col("own")) & (F.col("role") == F.col("own_role")))
+    return met.select("conv_id", "turn", F.md5("text").alias("text"), "role", F.col("n_list").cast("long").alias("n_list"), "n_row")
