@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.operators import pages, volumes
+from textloom.operators import ordering, pages, volumes
 
 
 def made(seed, n):
@@ -76,3 +76,18 @@ def test_lines_are_told_apart(spark):
     assert of(volumes.is_no_content, ["ص: 12", "ص: x", "[ صفحه 3 ]", "[صفحه]", "******** 1", "-روایت-1", " \n", None, "نص"]) == [True, False, True, False, True, True, True, True, False]
     assert of(volumes.is_chapter_heading, ["1 - x", "12– y", "x 1 -", "باب الصلاة", "5", "نص"]) == [True, True, False, True, False, False]
     assert of(volumes.is_introduction, ["مقدمة المؤلف", "نص"]) == [True, False]
+
+
+@pytest.mark.parametrize("n", [0, 1, 500])
+def test_places_and_blocks_of_any_group(spark, n):
+    r = random.Random(n)
+    rows = list({(r.choice(["hot", "hot", "hot", "b", None]), r.randrange(10_000), r.choice(["x", None])) for _ in range(n)})
+    d = spark.createDataFrame(rows, "k string, i long, t string").repartition(7)
+    groups = {}
+    for k, i, t in rows:
+        groups.setdefault(k, []).append((i, t))
+    order = lambda xs: sorted(xs, key=lambda x: (x[0], x[1] is not None, x[1] or ""))
+    want = {(k, *x): at for k, xs in groups.items() for at, x in enumerate(order(xs), 1)}
+    assert {(x["k"], x["i"], x["t"]): x["n"] for x in ordering.numbered(d, ["k"], ["i", "t"]).collect()} == want
+    got = {(x["k"], x["block"]): (x["n"], [tuple(y) for y in x["items"]]) for x in ordering.blocked_lists(d, ["k"], ["i", "t"], 30).collect()}
+    assert got == {(k, b): (len(part), part) for k, xs in groups.items() for b in range(-(-len(xs) // 30)) for part in [order(xs)[30 * b : 30 * b + 30]]}

@@ -98,3 +98,32 @@ def round_robin(rows: DataFrame, stratum: str, group: str, id_col: str, quota: i
 def range_slice(rows: DataFrame, order: list[Column], start: int, end: int) -> DataFrame:
     """Rows ``start`` to ``end``, from 1 and inclusive, of the whole order."""
     return rows.orderBy(*order).offset(start - 1).limit(end - start + 1)
+
+
+def numbered(rows: DataFrame, by: list[str], order: list[str], name: str = "n") -> DataFrame:
+    """``rows`` with their places from 1 within ``by``, in the order of ``order``, which should tell all rows apart.
+
+    The rows are dealt into ranges of (by, order), so a group of any size is
+    many ranges; a place is that within the range and the sizes of the ranges
+    before. The ranges are written once, as they must not change in between.
+    """
+    dealt = stage(rows.repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id()), "numbered_rows")
+    sizes = dealt.groupBy(*by, "_range").agg(F.count("*").alias("_size"))
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_range").alias("_of"), F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy(*by, "_range").orderBy(*order))
+    same = [F.col("_range") == F.col("_of"), *[F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]]
+    met = dealt.withColumn("_inside", inside).join(sizes, same)
+    return met.withColumn(name, F.col("_before") + F.col("_inside")).drop("_range", "_of", "_before", "_inside", *[f"_by_{c}" for c in by])
+
+
+def blocked_lists(rows: DataFrame, keys: list[str], items: list[str], size: int = 1000) -> DataFrame:
+    """(keys, block, n, items): the items of each key in order, in blocks of ``size`` from 0; an item is a struct if it has several columns.
+
+    A key of any size is as many rows as it needs, and no list is longer than
+    a block.
+    """
+    item = F.struct(*items) if len(items) > 1 else F.col(items[0])
+    placed = numbered(rows.select(*keys, *items), keys, items, "_n").withColumn("block", F.floor((F.col("_n") - 1) / F.lit(size)).cast("long"))
+    lists = placed.groupBy(*keys, "block").agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("_n", item.alias("x")))).alias("_xs"))
+    return lists.select(*keys, "block", "n", F.transform("_xs", lambda x: x["x"]).alias("items"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from textloom.operators.matching import MOST_PHRASES
+from textloom.tables import stage
 
 
 def book_docs(rows: DataFrame, path: str, title: Column, texts: Column, default: Column, book: str) -> DataFrame:
@@ -41,3 +42,64 @@ def ranked(index: DataFrame, id_col: str, queries: DataFrame, query_id: str, ter
     scored = met.groupBy(query_id, id_col).agg(F.round(F.sum(weight), 6).alias("score"))
     place = F.row_number().over(Window.partitionBy(query_id).orderBy(F.desc("score"), id_col))
     return scored.withColumn("place", place.cast("long")).where(F.col("place") <= top)
+
+
+def block_postings(index: DataFrame, id_col: str, per_block: int = 256, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """(term, block, docs, most): the postings in blocks of documents, each with its documents' weights by BM25 and the largest of them.
+
+    A document is in one block, the same for all its terms, and a block has
+    about ``per_block`` documents; so a term that most documents have is many
+    rows, and its documents are counted from the blocks.
+    """
+    docs = index.select(id_col, "length").distinct().agg(F.count("*").alias("_docs"), F.avg("length").alias("_mean")).first()  # two numbers
+    n_docs, mean = docs["_docs"], docs["_mean"] or 1.0
+    block = F.pmod(F.xxhash64(id_col), F.lit(max(1, -(-n_docs // per_block)))).alias("block")
+    blocks = index.groupBy("term", block).agg(F.collect_list(F.struct(F.col(id_col).alias("id"), "n", "length")).alias("docs"))
+    blocks = stage(blocks, "search_blocks")
+    df = blocks.groupBy("term").agg(F.sum(F.size("docs")).alias("df"))
+    idf = F.log(1 + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weighed = F.transform("docs", lambda d: F.struct(d["id"].alias("id"), (F.col("_idf") * d["n"] * (k1 + 1) / (d["n"] + k1 * (1 - b + b * d["length"] / F.lit(mean)))).alias("weight")))
+    made = blocks.join(df, "term").withColumn("_idf", idf).select("term", "block", weighed.alias("docs"))
+    return made.withColumn("most", F.array_max(F.transform("docs", lambda d: d["weight"])))
+
+
+#: Sums of weights differ in their last digits by the order in which they are added.
+SLACK = 1e-5
+
+
+def pruned_blocks(blocks: DataFrame, queries: DataFrame, query_id: str, terms: Column, id_col: str, top: int = 5, first: int = 4) -> tuple[DataFrame, DataFrame]:
+    """((query_id, id, score, place), (query_id, block, bound, scored)): the best documents, and what blocks could have held any.
+
+    A block's documents can't score more than its largest weights add up to.
+    The ``first`` blocks by that bound are scored, which gives each query the
+    score that a document must reach; blocks whose bound doesn't reach it are
+    left out. The result is that of scoring all.
+    """
+    asked = stage(queries.select(F.col(query_id).alias("_q"), F.explode(F.array_distinct(terms)).alias("term")), "search_asked")
+    bounds = blocks.select("term", "block", "most").join(asked, "term").groupBy("_q", "block").agg(F.sum("most").alias("bound"))
+    bounds = stage(bounds, "search_bounds")
+    place = Window.partitionBy("_q").orderBy(F.desc("bound"), "block")
+    ahead = bounds.withColumn("_place", F.row_number().over(place)).where(F.col("_place") <= first).select("_q", "block")
+
+    def scored(pairs: DataFrame) -> DataFrame:
+        met = pairs.join(asked, "_q").join(blocks.select("term", "block", "docs"), ["term", "block"])
+        each = met.select("_q", F.explode("docs").alias("d")).groupBy("_q", F.col("d.id").alias("_id")).agg(F.sum("d.weight").alias("score"))
+        return stage(each.withColumn("score", F.round("score", 6)), "search_scored")
+
+    best = Window.partitionBy("_q").orderBy(F.desc("score"), "_id")
+    one = scored(ahead)
+    least = one.withColumn("_place", F.row_number().over(best)).where(F.col("_place") == top).select("_q", F.col("score").alias("_least"))
+    rest = bounds.join(ahead.withColumn("_done", F.lit(True)), ["_q", "block"], "left").join(least, "_q", "left")
+    rest = rest.withColumn("scored", F.col("_done").isNotNull() | F.col("_least").isNull() | (F.col("bound") + SLACK >= F.col("_least")))
+    two = scored(rest.where("scored AND _done IS NULL").select("_q", "block"))
+    found = one.unionByName(two).withColumn("place", F.row_number().over(best).cast("long")).where(F.col("place") <= top)
+    return found.withColumnsRenamed({"_q": query_id, "_id": id_col}), rest.select(F.col("_q").alias(query_id), "block", "bound", "scored")
+
+
+def write_search(docs: DataFrame, path: str) -> DataFrame:
+    """Write what is searched, (book, path, title, text), as JSON lines: ``titles`` of all books, ``books`` by book, and ``meta`` with the number of texts and titles of each book; the numbers."""
+    docs.where("title <> ''").select("book", "path", "title").write.mode("overwrite").json(f"{path}/titles")
+    docs.write.mode("overwrite").partitionBy("book").json(f"{path}/books")
+    meta = docs.groupBy("book").agg(F.count_if(F.col("text") != "").alias("n_texts"), F.count_if(F.col("title") != "").alias("n_titles"))
+    meta.write.mode("overwrite").json(f"{path}/meta")
+    return meta

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from textloom.functions.text import latin_tokens
 from textloom.operators import chapters, counting, documents, lexicon, matching, search
-from textloom.plans.registry import query
-from textloom.tables import table
+from textloom.plans.registry import ORACLE, query
+from textloom.tables import stage, table
 
 SPELT = "spelt AS (SELECT CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE upper(p_name) END AS word, min(p_type) AS gloss, count(*) AS n FROM part WHERE p_size > 25 GROUP BY 1)"
 
@@ -215,6 +215,14 @@ def search_top5(spark: SparkSession, sf: str) -> DataFrame:
     return search.ranked(_index(spark, sf), "doc_id", table(spark, sf, "benchmark"), "item_id", latin_tokens(F.col("text")))
 
 
+@query(ORACLE["search_top5"])
+def search_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """The same answers from postings in blocks, of which those are left out whose documents can't be among the best."""
+    blocks = stage(search.block_postings(_index(spark, sf), "doc_id"), "search_index")
+    found, _ = search.pruned_blocks(blocks, table(spark, sf, "benchmark"), "item_id", latin_tokens(F.col("text")), "doc_id")
+    return found
+
+
 @query(f"WITH {INDEX}, a AS (SELECT DISTINCT item_id, left(unnest({LATIN.format('text')}), 6) AS asked FROM benchmark WHERE item_id < 20), q AS (SELECT DISTINCT item_id, term FROM a JOIN (SELECT DISTINCT term FROM i) t ON term = asked OR (length(asked) = 6 AND starts_with(term, asked))), {SCORED}")
 def search_prefixes(spark: SparkSession, sf: str) -> DataFrame:
     asked = F.transform(latin_tokens(F.col("text")), lambda w: F.left(w, F.lit(6)))
@@ -223,7 +231,7 @@ def search_prefixes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT lang AS book, doc_id AS path, CASE WHEN regexp_full_match(source, 'Chapter [0-9]+') THEN '' ELSE source END AS title, md5(trim(regexp_replace(coalesce(CASE WHEN lang = 'en' THEN text ELSE '<b>' || source || '</b> ' || lang END, ''), '<[^>]+>', '', 'g'))) AS text FROM documents")
 def search_documents(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").where("text is not null or lang <> 'en'")
+    docs = table(spark, sf, "documents")
     texts = F.map_from_arrays(F.array(F.lit("en.first"), F.lit("xx.other")), F.array("text", F.concat(F.lit("<b>"), F.col("source"), F.lit("</b> "), F.col("lang"))))
     made = search.book_docs(docs, "doc_id", F.col("source"), texts, F.when(F.col("lang") == "en", "en.first").otherwise("xx.other"), "lang")
     return made.withColumn("text", F.md5("text"))
