@@ -31,7 +31,7 @@ def test_pruned_answers_are_those_of_scoring_all(spark):
 def test_nothing_to_search(spark):
     none = spark.createDataFrame([], "id long, text string")
     words = F.split("text", " ")
-    found, seen = search.pruned_blocks(search.block_postings(search.postings(none, "id", words, "doc"), "id"), none, "id", words, "doc")
+    found, seen = search.pruned_blocks(search.block_postings(search.postings(none, "id", words), "id"), none, "id", words, "doc")
     assert found.count() == seen.count() == 0
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from textloom.operators.ordering import numbered
+from textloom.operators.volumes import running
 from textloom.tables import stage
 
 
@@ -69,7 +71,21 @@ def first_seen_ids(rows: DataFrame, name: str, order: list[Column]) -> DataFrame
 
 
 def cumulative_place(rows: DataFrame, order: Column, size: str, numbers: DataFrame, number: str) -> DataFrame:
-    """Each number with the row in which it falls when the rows' sizes are laid end to end, and its place there; the rows are few."""
-    ends = rows.withColumn("_end", F.sum(size).over(Window.orderBy(order))).withColumn("_start", F.col("_end") - F.col(size))
-    met = numbers.join(F.broadcast(ends), (F.col(number) > F.col("_start")) & (F.col(number) <= F.col("_end")))
-    return met.withColumn("place", F.col(number) - F.col("_start")).drop("_start", "_end")
+    """Each number, from 1, with the row in which it falls when the rows' sizes are laid end to end, and its place there; numbers beyond the end drop out.
+
+    Places and starts of the rows are running sums by ranges, and a number
+    finds the last start before it in the same way: rows and numbers lie in
+    one order, so neither side is sent whole nor met by all of the other.
+    """
+    laid = numbered(rows.where(F.col(size) > 0).withColumn("_order", order), [], ["_order"], "_n").drop("_order")
+    laid = running(laid, [], "_n", 50_000, {"_end": F.col(size)})
+    starts = stage(laid.withColumn("_start", F.col("_end") - F.col(size)).drop("_n"), "range_starts")
+    one = F.struct(*starts.columns)
+    total = starts.agg(F.coalesce(F.max("_end"), F.lit(0))).first()[0]
+    # A start at s comes before the number s + 1, whose place it is.
+    marks = starts.select((F.col("_start") * 2).alias("_at"), one.alias("_row"), F.lit(None).cast(numbers.select(F.struct("*")).schema[0].dataType).alias("_number"))
+    asked = numbers.where(F.col(number).between(1, total)).select(((F.col(number) - 1) * 2 + 1).cast("long").alias("_at"), F.lit(None).cast(marks.schema["_row"].dataType).alias("_row"), F.struct("*").alias("_number"))
+    width = max(2, 2 * total // 1000)
+    met = running(marks.unionByName(asked), [], "_at", width, latest={"_last": F.col("_row")}).where("_number IS NOT NULL")
+    kept = [c for c in starts.columns if c not in ("_start", "_end")]
+    return met.select("_number.*", *[F.col(f"_last.{c}").alias(c) for c in kept], (F.col(f"_number.{number}") - F.col("_last._start")).alias("place"))

@@ -43,10 +43,16 @@ def ordered_entries(rows: DataFrame, id_col: str, ids: Column, entries: DataFram
 
 
 def best_of(rows: DataFrame, keys: list[str], candidates: DataFrame, on: list[tuple[Column, Column]], order: list[Column]) -> DataFrame:
-    """Each row with its best candidate: that of the first pair of equal keys in ``on``, then the first by ``order``; ``rank`` tells which pair."""
+    """Each row with its best candidate: that of the first pair of equal keys in ``on``, then the first by ``order``, which is of the candidates; ``rank`` tells which pair.
+
+    The candidates of a key are ranked before they meet the rows, so a row
+    meets one a pair of keys, however many share its key.
+    """
     met = None
     for i, (left, right) in enumerate(on):
-        one = rows.join(candidates, left == right).withColumn("rank", F.lit(i))
+        first = F.row_number().over(Window.partitionBy(right).orderBy(*order))
+        some = candidates.withColumn("_first", first).where((F.col("_first") == 1) & right.isNotNull()).drop("_first")
+        one = rows.join(some, left == right).withColumn("rank", F.lit(i))
         met = one if met is None else met.unionByName(one)
     place = F.row_number().over(Window.partitionBy(*keys).orderBy("rank", *order))
     return met.withColumn("_place", place).where("_place = 1").drop("_place")
@@ -88,8 +94,9 @@ def pages(forms: DataFrame, lemma: str, form: str, counts: DataFrame, lexicons:
 def roots(lemmas: DataFrame, root: str, lemma: str, count: str, top: int = 3) -> DataFrame:
     """(root, n_lemmas, n, top): what the lemmas of a root sum up to, and the most frequent ones."""
     place = F.row_number().over(Window.partitionBy(root).orderBy(F.desc(count), lemma))
-    some = lemmas.withColumn("_place", place)
-    return some.groupBy(root).agg(F.count("*").alias("n_lemmas"), F.sum(count).alias("n"), F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("_place") <= top, F.struct("_place", F.col(lemma).cast("string").alias("name"))))), lambda x: x["name"]), " ").alias("top"))
+    some = lemmas.withColumn("_place", place).where(F.col("_place") <= top)  # limited in each task before the shuffle
+    named = some.groupBy(F.col(root).alias("_root")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_place", F.col(lemma).cast("string").alias("name")))), lambda x: x["name"]), " ").alias("top"))
+    return lemmas.groupBy(root).agg(F.count("*").alias("n_lemmas"), F.sum(count).alias("n")).join(named, F.col(root).eqNullSafe(F.col("_root"))).select(root, "n_lemmas", "n", "top")
 
 
 def role_key(aspect: Column, person: Column, gender: Column, number: Column, pos: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from textloom.functions.text import shingles
+from textloom.operators.ordering import blocked_lists
 from textloom.tables import stage
 
 
@@ -17,22 +18,31 @@ MOST_SHINGLES = 500_000
 def quotations(texts: DataFrame, passages: DataFrame, text_words: Column, passage_words: Column, text_id: str, passage_id: str, n: int = 3, least_words: int = 4, threshold: float = 0.5) -> DataFrame:
     """(text_id, passage_id, n_shared, n_passage, score): passages of which a text holds enough shingles.
 
-    Set containment by an equi-join on shingles; the passages' side is an
-    index of distinct shingles, so a text's repeats don't count. Both sides
-    are exploded arrays and the join is on a hash key, so it scales with the
-    shared shingles.
+    Set containment by an equi-join on 64-bit hashes of shingles, made of the
+    words' hashes, so no text's shingles are ever written out. Hashes can only
+    say too much: pairs that have enough of them are few, and those meet their
+    texts again, where the shingles themselves are compared.
     """
-    index = passages.select(passage_id, passage_words.alias("w")).where(F.size("w") >= least_words).select(passage_id, shingles(F.col("w"), n).alias("s")).where(F.size("s") > 0)
-    sizes = index.select(passage_id, F.size("s").cast("long").alias("n_passage"), F.explode("s").alias("shingle"))
-    said = texts.select(text_id, text_words.alias("w")).select(text_id, F.explode(shingles(F.col("w"), n)).alias("shingle"))
-    sizes = F.broadcast(sizes) if sizes.limit(MOST_SHINGLES + 1).count() <= MOST_SHINGLES else sizes
-    shared = said.join(sizes, "shingle").groupBy(text_id, passage_id, "n_passage").agg(F.count("*").alias("n_shared"))
+    known = passages.select(F.col(passage_id).alias("_p"), passage_words.alias("w")).where(F.size("w") >= least_words)
+    index = known.select("_p", "w", shingles(F.col("w"), n).alias("s")).where(F.size("s") > 0).select("_p", F.size("s").cast("long").alias("n_passage"), "w", "s")
+    index = stage(index, "passages")
+    hashed = lambda w: F.transform(w, lambda x: F.xxhash64(x))
+    runs = lambda h: F.transform(F.sequence(F.lit(0), F.size(h) - n), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(n)]))
+    keys = index.select("_p", "n_passage", hashed(F.col("w")).alias("h")).select("_p", "n_passage", F.explode(F.array_distinct(runs(F.col("h")))).alias("key"))
+    keys = F.broadcast(keys) if keys.limit(MOST_SHINGLES + 1).count() <= MOST_SHINGLES else keys
+    words = texts.select(F.col(text_id).alias("_t"), text_words.alias("w"))
+    said = words.select("_t", hashed(F.col("w")).alias("h")).where(F.size("h") >= n).select("_t", F.explode(runs(F.col("h"))).alias("key"))
+    near = said.join(keys, "key").groupBy("_t", "_p", "n_passage", "key").agg(F.lit(1).alias("one")).groupBy("_t", "_p", "n_passage").agg(F.count("*").alias("n"))
+    near = stage(near.where(F.col("n") >= threshold * F.col("n_passage")).select("_t", "_p"), "quoting_pairs")
+    met = near.join(words, "_t").join(index.select("_p", "n_passage", "s"), "_p")
+    shared = met.select("_t", "_p", "n_passage", F.size(F.array_intersect(shingles(F.col("w"), n), F.col("s"))).cast("long").alias("n_shared"))
+    shared = shared.select(F.col("_t").alias(text_id), F.col("_p").alias(passage_id), "n_shared", "n_passage")
     return shared.withColumn("score", F.col("n_shared") / F.col("n_passage")).where(F.col("score") >= threshold)
 
 
 def inverse(links: DataFrame, source: str, target: str, name: str) -> DataFrame:
-    """For each target, the sorted sources that link to it."""
-    return links.groupBy(target).agg(F.sort_array(F.collect_set(source)).alias(name))
+    """(target, block, n, sources): the sorted sources that link to each target, in blocks, as a target may have any number."""
+    return blocked_lists(links.select(target, source).distinct(), [target], [source]).withColumnRenamed("items", name)
 
 
 def without_known(links: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
@@ -79,8 +89,10 @@ def related(docs: DataFrame, id_col: str, group_col: str, words: Column, thresho
 
 def shared_chains(chains: DataFrame, item: str, key: str, length: str, least_length: int = 3, least: int = 2, most: int = 20) -> DataFrame:
     """(key, n_items, items) of chains long enough that few enough items share."""
-    held = chains.where(F.col(length) >= least_length).groupBy(key).agg(F.count_distinct(item).alias("n_items"), F.sort_array(F.collect_set(item)).alias("items"))
-    return held.where(F.col("n_items").between(least, most))
+    once = chains.where(F.col(length) >= least_length).select(key, item).distinct()
+    few = once.groupBy(key).agg(F.count(item).alias("n_items")).where(F.col("n_items").between(least, most))
+    # Only what is known to be short becomes a list.
+    return once.join(few, key).groupBy(key).agg(F.first("n_items").alias("n_items"), F.sort_array(F.collect_set(item)).alias("items"))
 
 
 def co_members(groups: DataFrame, items: str = "items") -> DataFrame:

@@ -88,9 +88,13 @@ def stratified_sample(rows: DataFrame, strata: list[str], id_col: str, each: int
 
 
 def round_robin(rows: DataFrame, stratum: str, group: str, id_col: str, quota: int) -> DataFrame:
-    """Up to ``quota`` rows of each stratum, dealt over its groups in turn."""
+    """Up to ``quota`` rows of each stratum, dealt over its groups in turn.
+
+    No more than ``quota`` rows of a group can win, so both rankings are limited
+    in each task before their rows are shuffled.
+    """
     inner = F.row_number().over(Window.partitionBy(stratum, group).orderBy(F.md5(F.col(id_col).cast("string")), id_col))
-    turn = rows.withColumn("_turn", inner)
+    turn = rows.withColumn("_turn", inner).where(F.col("_turn") <= quota)
     place = F.row_number().over(Window.partitionBy(stratum).orderBy("_turn", group, id_col))
     return turn.withColumn("place", place.cast("long")).where(F.col("place") <= quota).drop("_turn")
 

@@ -34,7 +34,8 @@ def quote_containment(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"WITH {QUOTES} SELECT item_id, count(*) AS n_docs, min(doc_id) AS first_doc, sum(doc_id)::BIGINT AS sum_docs FROM q GROUP BY item_id")
 def quote_inverse(spark: SparkSession, sf: str) -> DataFrame:
     docs = linking.inverse(_quotes(spark, sf), "doc_id", "item_id", "docs")
-    return docs.select("item_id", F.size("docs").cast("long").alias("n_docs"), F.element_at("docs", 1).alias("first_doc"), F.aggregate("docs", F.lit(0).cast("long"), lambda a, x: a + x).alias("sum_docs"))
+    summed = F.aggregate("docs", F.lit(0).cast("long"), lambda a, x: a + x)
+    return docs.groupBy("item_id").agg(F.sum("n").alias("n_docs"), F.min(F.element_at("docs", 1)).alias("first_doc"), F.sum(summed).alias("sum_docs"))
 
 
 @query(f"WITH {QUOTES} SELECT doc_id, item_id FROM q ANTI JOIN (SELECT doc_id FROM labels WHERE quality = 1) l USING (doc_id)")
