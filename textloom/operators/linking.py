@@ -68,18 +68,25 @@ def related(docs: DataFrame, id_col: str, group_col: str, words: Column, thresho
     as much as the rest of either vector from there on. So a pair can only
     reach the threshold if it meets in a term before the rest gets too light,
     and the frequent terms, which all documents share, never make pairs. The
-    pairs that meet are then measured by all terms.
+    products of the terms in which a pair meets, down to rests of half the
+    threshold, are added up as it is made; what is missing is at most the
+    greater of the two rests, and only pairs that could reach the threshold
+    with it are measured by all terms.
     """
     v = tfidf(docs, id_col, words)
     norms = v.groupBy(id_col).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
     v = v.join(norms, id_col).select(F.col(id_col).alias("a"), "term", "df", (F.col("weight") / F.col("norm")).alias("w"))
     v = stage(v, "tfidf")
     rest = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("a").orderBy("df", "term").rowsBetween(Window.currentRow, Window.unboundedFollowing)))
+    light = F.col("rest") < threshold / 2
+    tail = F.coalesce(F.max(F.when(light, F.col("rest"))).over(Window.partitionBy("a")), F.lit(0.0))
     groups = docs.select(F.col(id_col).alias("a"), F.col(group_col).alias("g"))
-    early = v.withColumn("rest", rest).where(F.col("rest") >= threshold - 1e-5).join(groups, "a").select("a", "g", "term")
+    early = v.withColumn("rest", rest).withColumn("tail", tail).where(~light).join(groups, "a").select("a", "g", F.xxhash64("term").alias("term"), "w", "tail")
     early = stage(early, "tfidf_early")
-    other = early.select(F.col("a").alias("b"), F.col("g").alias("gb"), "term")
-    pairs = early.join(other, "term").where((F.col("g") != F.col("gb")) & (F.col("a") < F.col("b"))).select("a", "b").distinct()
+    other = early.select(F.col("a").alias("b"), F.col("g").alias("gb"), "term", F.col("w").alias("wb"), F.col("tail").alias("tb"))
+    pairs = early.join(other, "term").where((F.col("g") != F.col("gb")) & (F.col("a") < F.col("b")))
+    pairs = pairs.groupBy("a", "b").agg(F.sum(F.col("w") * F.col("wb")).alias("part"), F.max(F.greatest("tail", "tb")).alias("missing"))
+    pairs = stage(pairs.where(F.col("part") + F.col("missing") >= threshold - 1e-5).select("a", "b"), "tfidf_pairs")
     both = pairs.join(v.select("a", "term", F.col("w").alias("wa")), "a").join(v.select(F.col("a").alias("b"), "term", F.col("w").alias("wb")), ["b", "term"])
     met = both.groupBy("a", "b").agg(F.round(F.sum(F.col("wa") * F.col("wb")), 6).alias("similarity")).where(F.col("similarity") >= threshold)
     met = met.withColumn("x", F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))).select("x.*", "similarity")

@@ -1,50 +1,50 @@
-"""Queries of names and chains: a line of a chain for each document, by its id."""
+"""Queries of names and chains: words of documents, spelt in Arabic letters, as names and as chains of names."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.functions import arabic, names
+from textloom.functions import names
 from textloom.plans.registry import query
 from textloom.tables import table
 
-NAMES = ["مُحَمَّدُ بْنُ يَعْقُوبَ", "رَوَى ابْنُ بُكَيْرٍ", "أَبِي عَبْدِ اللَّهِ ( عليه السلام ) :", "أبو جعفر عليه السلام", "الشيخ (ره)", "حدثنا علي بن إبراهيم عن أبيه قال", "رسول الله صلى الله عليه وآله", "قال"]
-CHAINS = [
-    "عَلِيُّ بْنُ إِبْرَاهِيمَ عَنْ أَبِيهِ عَنْ حَمَّادِ بْنِ عِيسَى قَالَ سَمِعْتُ أَبَا عَبْدِ اللَّهِ",
-    "مُحَمَّدُ بْنُ يَحْيَى عَنْ أَحْمَدَ بْنِ مُحَمَّدٍ أَنَّهُ كَانَ",
-    "وَ حَدَّثَنَا سَهْلُ بْنُ زِيَادٍ عَنِ الْحَسَنِ فَقَالَ لَا",
-    "كتاب الصلاة",
-]
-SPLIT = "عَنْ|عَنِ"
+#: Letters for b to z, none of those that verbs and prepositions of chains need.
+LATIN, ARABIC = "bcdefghijklmnopqrstuvwxyz", "بتجحخدذرزسشصضطظغفقكلمهيبت"
+_WORDS = f"[translate(w, '{LATIN}', '{ARABIC}') FOR w IN regexp_extract_all(translate(coalesce(text, ''), 'BCDEFGHIJKLMNOPQRSTUVWXYZ', '{LATIN}'), '[b-z]{{3,}}')]"
 
 
-def _values(xs: list[str]) -> str:
-    return "[" + ", ".join(f"'{x}'" for x in xs) + "]"
+def _names(spark: SparkSession, sf: str) -> DataFrame:
+    """(doc_id, w): the words of a document of three letters and more, without vowels, spelt anew."""
+    low = F.translate(F.coalesce("text", F.lit("")), LATIN.upper(), LATIN)
+    return table(spark, sf, "documents").select("doc_id", F.transform(F.regexp_extract_all(low, F.lit("([b-z]{3,})"), 1), lambda w: F.translate(w, LATIN, ARABIC)).alias("w"))
 
 
-def _picked(xs: list[str]) -> F.Column:
-    return F.element_at(F.array(*map(F.lit, xs)), (F.col("doc_id") % len(xs) + 1).cast("int"))
+def _picked(xs: list[str], n: int = 1) -> Column:
+    return F.element_at(F.array(*map(F.lit, xs)), (F.floor(F.col("doc_id") / n) % len(xs) + 1).cast("int"))
 
 
-NORMAL = f"trim(regexp_replace(translate(translate(translate(name, '{arabic.TASHKEEL + arabic.TATWEEL}', ''), '{arabic.LETTERS_FROM}', '{arabic.LETTERS_TO}'), '{arabic.PUNCTUATION_FROM}', '{arabic.PUNCTUATION_TO}'), '\\s+', ' ', 'g'))"
-SUFFIX = rf"(?:\s*\(\s*(?:{'|'.join(names.FORMULAS + names.SHORT_FORMULAS)})\.?\s*\)|\s+(?:{'|'.join(names.FORMULAS + names.SHORT_FORMULAS + names.TRAILING_WORDS)})|\s*[:,;.?\-–—])+\s*$"
-
-
-@query(rf"""
-WITH d AS (SELECT doc_id, {_values(NAMES)}[doc_id % {len(NAMES)} + 1] AS name FROM documents), n AS (SELECT doc_id, name, regexp_replace({NORMAL}, '{SUFFIX}', '') AS k FROM d)
-SELECT doc_id, trim(regexp_replace(k, '^(?:{'|'.join(names.OPENING_VERBS)}) \s*(\S)', '\1')) AS key FROM n
+@query(f"""
+WITH d AS (SELECT doc_id, unnest({_WORDS}) AS w, generate_subscripts({_WORDS}, 1) AS i FROM documents)
+SELECT doc_id, i::INTEGER AS i, 'ا' || w || ' بن ' || w AS key FROM d
 """)
 def name_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", names.canonical_key(_picked(NAMES)).alias("key"))
+    """Each word of each document as a name: with vowel marks, letters in variants, a verb before it and a formula behind it."""
+    d = _names(spark, sf).select("doc_id", F.posexplode("w").alias("i", "w"))
+    marked = F.replace(F.replace("w", F.lit("ب"), F.lit("بَ")), F.lit("م"), F.lit("مّ"))
+    name = F.concat(_picked(["", "حَدَّثَنَا ", "روى ", "وَسَمِعْتُ "]), _picked(["أ", "إ", "آ", "ا"], 4), marked, F.lit("  بْنُ "), marked, _picked(["", " عليه السلام", " (ره)", " :", " ( صلى الله عليه وآله )", " رضي الله عنه قال"], 2))
+    return d.select("doc_id", (F.col("i") + 1).alias("i"), names.canonical_key(name).alias("key"))
 
 
-@query(rf"""
-WITH d AS (SELECT doc_id, {_values(CHAINS)}[doc_id % {len(CHAINS)} + 1] AS t FROM documents),
-c AS (SELECT doc_id, t, nullif(regexp_extract(t, '^.*? (?:{'|'.join(names.ENDS)})'), '') AS chain FROM d),
-n AS (SELECT doc_id, t, chain, regexp_replace(regexp_replace(chain, ' (?:{'|'.join(names.ENDS)})$', ''), '^(?:وَ )?(?:حَدَّثَنَا )?', '') AS names FROM c)
-SELECT doc_id, chain, substr(t, coalesce(length(chain), 0) + 1) AS rest, array_to_string(regexp_split_to_array(names, ' (?:{SPLIT}) '), ' / ') AS names FROM n
+@query(f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents), c AS (
+  SELECT doc_id, w, CASE doc_id % 3 WHEN 1 THEN 'حَدَّثَنَا ' WHEN 2 THEN 'وَ أَخْبَرَنَا ' ELSE '' END || CASE doc_id % 2 WHEN 1 THEN array_to_string(w[1:4], ' عَنْ ') ELSE array_to_string(w[1:4], ' عَنِ ') END || CASE (doc_id // 3) % 2 WHEN 0 THEN ' قَالَ' ELSE ' أَنَّهُ' END AS chain FROM d WHERE len(w) >= 4)
+SELECT doc_id, chain, ' ' || array_to_string(w[5:], ' ') AS rest, array_to_string(w[1:4], ' / ') AS names FROM c
 """)
 def chain_names(spark: SparkSession, sf: str) -> DataFrame:
-    cut = table(spark, sf, "documents").select("doc_id", names.chain_and_rest(_picked(CHAINS)).alias("x")).select("doc_id", "x.*")
+    """The first four words of each document as a chain of names, the others as what is told."""
+    d = _names(spark, sf).where(F.size("w") >= 4)
+    chain = F.concat(_picked(["", "حَدَّثَنَا ", "وَ أَخْبَرَنَا "]), F.when(F.col("doc_id") % 2 == 1, F.array_join(F.slice("w", 1, 4), " عَنْ ")).otherwise(F.array_join(F.slice("w", 1, 4), " عَنِ ")), _picked([" قَالَ", " أَنَّهُ"], 3))
+    told = F.concat(chain, F.lit(" "), F.array_join(F.slice("w", 5, F.size("w")), " "))
+    cut = d.select("doc_id", names.chain_and_rest(told).alias("x")).select("doc_id", "x.*")
     return cut.select("doc_id", "chain", "rest", F.array_join(names.chain_names(F.col("chain")), " / ").alias("names"))
