@@ -27,7 +27,7 @@ def test_names_are_found_by_stage_book_and_context(spark):
 
 
 def test_texts_to_parts(spark):
-    d = spark.createDataFrame([(1, "حدثنا علي بن يزيد عَنْ كريم قَالَ كان"), (2, "no chain here"), (3, None)], "i long, t string")
+    d = spark.createDataFrame([(1, "حَدَّثَنَا علي بن يزيد عَنْ كريم قَالَ كان"), (2, "no chain here"), (3, None)], "i long, t string")
     rows = {r["i"]: r for r in chains.linked_chains(d, "i", F.col("t"), F.lit(None).cast("string"), registry(spark)).collect()}
     assert [(p["kind"], p["path"]) for p in rows[1]["parts"] if p["path"]] == [("narrator", "/people/narrators/2"), ("narrator", "/people/narrators/5")]
     assert "".join(p["text"] for p in rows[1]["parts"]) == rows[1]["chain"] and rows[1]["rest"] == " كان"
