@@ -1,6 +1,6 @@
 """Registered queries with their SQL."""
 
-from textloom.plans import counts, links, lists, markup, names, order, pages, quality, repairs, text, validation, variants, volumes
+from textloom.plans import counts, links, lists, markup, names, order, pages, quality, repairs, surfaces, text, validation, variants, volumes
 from textloom.plans.registry import ORACLE, QUERIES
 
-__all__ = ["ORACLE", "QUERIES", "counts", "links", "lists", "markup", "names", "order", "pages", "quality", "repairs", "text", "validation", "variants", "volumes"]
+__all__ = ["ORACLE", "QUERIES", "counts", "links", "lists", "markup", "names", "order", "pages", "quality", "repairs", "surfaces", "text", "validation", "variants", "volumes"]
