@@ -7,13 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def inverted_index(rows: DataFrame, keys: list[str], item: str) -> DataFrame:
-    """(keys, n_items, items): the sorted distinct items of each key."""
-    return rows.groupBy(*keys).agg(F.count_distinct(item).alias("n_items"), F.sort_array(F.collect_set(item)).alias("items"))
-
-
 def posting_ends(rows: DataFrame, keys: list[str], item: str) -> DataFrame:
-    """(keys, n_items, first, last) of the same lists, without holding one in an array."""
+    """(keys, n_items, first, last) of the items of each key; ``ordering.blocked_lists`` has them all."""
     return rows.groupBy(*keys, item).agg(F.lit(1).alias("_one")).groupBy(*keys).agg(F.count(item).alias("n_items"), F.min(item).alias("first"), F.max(item).alias("last"))
 
 

@@ -6,15 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def split_by_lang(rows: DataFrame, key: str, order: str, lang: str, value: str, langs: list[str]) -> DataFrame:
-    """(key, lang, values): for each language an array over all rows of a key, null where a row has another language."""
-    held = rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(order, F.col(lang).alias("l"), F.col(value).alias("v")))).alias("x"))
-    one = held.withColumn("lang", F.explode(F.array(*map(F.lit, langs))))
-    return one.select(key, "lang", F.transform("x", lambda x: F.when(x["l"] == F.col("lang"), x["v"])).alias("values"))
-
-
 def lang_counts(rows: DataFrame, key: str, lang: str, value: str, langs: list[str]) -> DataFrame:
-    """(key, lang, n_there, n_holes, most) of the same arrays, without making them."""
+    """(key, lang, n_there, n_holes, most) of each language among the rows of a key."""
     own = lambda x: F.when(F.col(lang) == x, F.col(value))
     one = lambda x: F.struct(F.lit(x).alias("lang"), F.count(own(x)).alias("n_there"), (F.count("*") - F.count(own(x))).alias("n_holes"), F.max(own(x)).alias("most"))
     held = rows.groupBy(key).agg(F.array(*map(one, langs)).alias("x"))

@@ -54,13 +54,8 @@ def fuzzy(names: DataFrame, titles: DataFrame, name: str, title: str, threshold:
     return pairs.withColumn("place", place.cast("long")).where(F.col("place") <= top).select(F.col("a").alias(name), F.col("b").alias(title), "similarity", "place")
 
 
-def duplicate_groups(entries: DataFrame, key: Column, id_col: str) -> DataFrame:
-    """(key, n, ids) of keys that several entries have."""
-    return entries.where(key.isNotNull() & (key != "")).groupBy(key.alias("key")).agg(F.count("*").alias("n"), F.sort_array(F.collect_list(id_col)).alias("ids")).where("n > 1")
-
-
 def duplicate_ends(entries: DataFrame, key: Column, id_col: str) -> DataFrame:
-    """(key, n, first, last) of the same groups, without holding one in an array."""
+    """(key, n, first, last) of keys that several entries have; ``ordering.blocked_lists`` has the ids."""
     return entries.where(key.isNotNull() & (key != "")).groupBy(key.alias("key")).agg(F.count("*").alias("n"), F.min(id_col).alias("first"), F.max(id_col).alias("last")).where("n > 1")
 
 
