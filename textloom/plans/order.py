@@ -34,11 +34,11 @@ def turn_nav(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-WITH o AS (SELECT o_orderpriority, o_orderkey, lead(o_orderkey) OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS before FROM orders WHERE o_orderstatus = 'F')
+WITH o AS (SELECT o_orderpriority, o_orderkey, lead(o_orderkey) OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS before FROM orders)
 SELECT o_orderpriority, o_orderkey AS after, before, before - o_orderkey - 1 AS missing FROM o WHERE before > o_orderkey + 1
 """)
 def sequence_gaps(spark: SparkSession, sf: str) -> DataFrame:
-    return ordering.sequence_gaps(table(spark, sf, "orders").where("o_orderstatus = 'F'"), ["o_orderpriority"], "o_orderkey")
+    return ordering.sequence_gaps(table(spark, sf, "orders"), ["o_orderpriority"], "o_orderkey")
 
 
 @query("""

@@ -40,13 +40,13 @@ def lexicon_folded_lists(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-WITH n AS (SELECT p_name, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'R' AND l_quantity > 40 GROUP BY 1), f AS (SELECT DISTINCT p_brand, p_name FROM part),
+WITH n AS (SELECT p_name, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1), f AS (SELECT DISTINCT p_brand, p_name FROM part),
 t AS (SELECT p_brand, min(p_type) AS type FROM part GROUP BY 1), s AS (SELECT p_brand, min(p_size) AS size FROM part WHERE p_size > 45 GROUP BY 1)
 SELECT p_brand, count(*) AS n_forms, coalesce(sum(n), 0)::BIGINT AS n, count(n) AS n_seen, min(type) AS type, min(size) AS size FROM f LEFT JOIN n USING (p_name) LEFT JOIN t USING (p_brand) LEFT JOIN s USING (p_brand) GROUP BY 1
 """)
 def lexicon_pages(spark: SparkSession, sf: str) -> DataFrame:
     part = table(spark, sf, "part")
-    sold = table(spark, sf, "lineitem").where("l_returnflag = 'R' and l_quantity > 40").join(part, F.col("l_partkey") == F.col("p_partkey"))
+    sold = table(spark, sf, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
     counts = sold.groupBy("p_name").agg(F.count("*").alias("n"))
     return lexicon.pages(part, "p_brand", "p_name", counts, {"type": (part, "p_type"), "size": (part.where("p_size > 45"), "p_size")})
 
@@ -107,11 +107,11 @@ def answered_langs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-WITH u AS (SELECT c_nationkey AS key, c_mktsegment AS kind, c_custkey AS target FROM customer WHERE c_acctbal > 5000 UNION SELECT s_nationkey, 'FURNITURE', s_suppkey FROM supplier)
+WITH u AS (SELECT c_nationkey AS key, c_mktsegment AS kind, c_custkey AS target FROM customer UNION SELECT s_nationkey, 'FURNITURE', s_suppkey FROM supplier)
 SELECT key, kind, count(*) AS n_targets, min(target) AS first_target FROM u WHERE target IS NOT NULL GROUP BY ALL
 """)
 def joined_relations(spark: SparkSession, sf: str) -> DataFrame:
-    given = table(spark, sf, "customer").where("c_acctbal > 5000").select(F.col("c_nationkey").alias("key"), F.col("c_mktsegment").alias("kind"), F.col("c_custkey").alias("target"))
+    given = table(spark, sf, "customer").select(F.col("c_nationkey").alias("key"), F.col("c_mktsegment").alias("kind"), F.col("c_custkey").alias("target"))
     new = table(spark, sf, "supplier").select(F.col("s_nationkey").alias("key"), F.lit("FURNITURE").alias("kind"), F.col("s_suppkey").alias("target"))
     return documents.joined_relations(given, "key", new, "kind", "target")
 
@@ -223,10 +223,10 @@ def search_blocks(spark: SparkSession, sf: str) -> DataFrame:
     return found
 
 
-@query(f"WITH {INDEX}, a AS (SELECT DISTINCT item_id, left(unnest({LATIN.format('text')}), 6) AS asked FROM benchmark WHERE item_id < 20), q AS (SELECT DISTINCT item_id, term FROM a JOIN (SELECT DISTINCT term FROM i) t ON term = asked OR (length(asked) = 6 AND starts_with(term, asked))), {SCORED}")
+@query(f"WITH {INDEX}, a AS (SELECT DISTINCT item_id, left(unnest({LATIN.format('text')}), 6) AS asked FROM benchmark), q AS (SELECT DISTINCT item_id, term FROM a JOIN (SELECT DISTINCT term FROM i) t ON term = asked OR (length(asked) = 6 AND starts_with(term, asked))), {SCORED}")
 def search_prefixes(spark: SparkSession, sf: str) -> DataFrame:
     asked = F.transform(latin_tokens(F.col("text")), lambda w: F.left(w, F.lit(6)))
-    return search.ranked(_index(spark, sf), "doc_id", table(spark, sf, "benchmark").where("item_id < 20"), "item_id", asked, prefix=6)
+    return search.ranked(_index(spark, sf), "doc_id", table(spark, sf, "benchmark"), "item_id", asked, prefix=6)
 
 
 @query("SELECT lang AS book, doc_id AS path, CASE WHEN regexp_full_match(source, 'Chapter [0-9]+') THEN '' ELSE source END AS title, md5(trim(regexp_replace(coalesce(CASE WHEN lang = 'en' THEN text ELSE '<b>' || source || '</b> ' || lang END, ''), '<[^>]+>', '', 'g'))) AS text FROM documents")
