@@ -38,8 +38,8 @@ def replaced_words(words: Column, fixes: dict[str, str], punctuation: str) -> Co
     edge = "[" + "".join("\\" + c for c in punctuation) + "]*"
 
     def one(w: Column) -> Column:
-        inner = F.regexp_extract(w, f"^{edge}(.*?){edge}$", 1)
-        return F.concat(F.regexp_extract(w, f"^({edge})", 1), F.coalesce(F.try_element_at(names, inner), inner), F.when(inner != "", F.regexp_extract(w, f"({edge})$", 1)).otherwise(""))
+        inner = F.regexp_extract(w, rf"(?s)^{edge}(.*?){edge}\z", 1)
+        return F.concat(F.regexp_extract(w, f"^({edge})", 1), F.coalesce(F.try_element_at(names, inner), inner), F.when(inner != "", F.regexp_extract(w, rf"({edge})\z", 1)).otherwise(""))
 
     return F.transform(words, one)
 

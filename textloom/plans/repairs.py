@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import json_repair
-from textloom.operators import dictionaries
+from textloom.operators import answers, dictionaries
 from textloom.plans.registry import query
 from textloom.tables import table
 
@@ -65,3 +65,38 @@ def mended_json(spark: SparkSession, sf: str) -> DataFrame:
     read = broken.select("conv_id", "turn", F.try_parse_json(json_repair.json_mended(F.col("broken"))).alias("v"))
     said, again = (F.try_variant_get("v", p, "string") for p in ("$.said[0]", "$.more.again"))
     return read.select("conv_id", "turn", F.try_variant_get("v", "$.role", "string").alias("role"), F.when(said == again, F.md5(said)).alias("said"))
+
+
+def _answers(spark: SparkSession, sf: str) -> DataFrame:
+    """Turns as answers with faults that follow from their ids and turns."""
+    t = F.col("turn")
+    words = F.split(F.coalesce("text", F.lit("")), " ")
+    range_ = F.struct(t.cast("int").alias("word_start"), (t + F.when(t % 2 == 0, 0).otherwise(2)).cast("int").alias("word_end"))
+    person = F.struct(F.when(t % 5 != 4, F.concat(F.lit("p"), t.cast("string"))).alias("name_en"), F.when(t % 3 == 0, "likely").otherwise("definite").alias("identity_confidence"), F.when(F.col("role") == "user", "known").alias("ambiguity_note"), F.array(range_).alias("word_ranges"))
+    part = lambda end: F.struct(F.lit(0).alias("word_start"), end.cast("int").alias("word_end"))
+    topics = F.when(t % 4 == 1, F.array(F.lit("none"))).when(t % 4 == 2, F.array(F.lit("faith"), F.col("role"))).when(t % 4 == 3, F.array(F.lit("faith")))
+    return table(spark, sf, "conversations").select("conv_id", "turn", words.alias("words"), F.array(F.coalesce("text", F.lit(""))).alias("texts"), F.array(person).alias("narrators"), F.array(part(F.lit(1)), part(F.size(words) - F.when(t % 2 == 0, 1).otherwise(0))).alias("chunks"), topics.alias("topics"))
+
+
+@query("""
+WITH a AS (SELECT conv_id, turn, role, len(string_split(coalesce(text, ''), ' ')) AS n FROM conversations)
+SELECT conv_id, turn, array_to_string(list_filter([
+    CASE WHEN turn % 3 = 0 AND role <> 'user' THEN 'auto-filled ambiguity_note for ' || CASE WHEN turn % 5 = 4 THEN '?' ELSE 'p' || turn END END, CASE WHEN turn % 2 = 0 THEN 'corrected last chunk word_end from ' || (n - 1) || ' to ' || n END,
+    CASE WHEN turn % 2 = 0 THEN 'corrected narrator ' || CASE WHEN turn % 5 = 4 THEN '?' ELSE 'p' || turn END || ' word_end from ' || turn || ' to ' || (turn + 1) END,
+    CASE turn % 4 WHEN 1 THEN 'removed all invalid topics: none' WHEN 2 THEN 'removed invalid topics: ' || role END], lambda x: x IS NOT NULL), '; ') AS fixes,
+  n::INTEGER AS last_end, (CASE WHEN turn % 2 = 0 THEN turn + 1 ELSE turn + 2 END)::INTEGER AS narrator_end, CASE WHEN turn % 4 >= 2 THEN 'faith' END AS topics
+FROM a
+""")
+def mended_answers(spark: SparkSession, sf: str) -> DataFrame:
+    m = answers.mended(_answers(spark, sf), F.size("words"), "narrators", "chunks", "topics", ["faith", "hope"])
+    return m.select("conv_id", "turn", F.array_join("fixes", "; ").alias("fixes"), F.get("chunks", F.lit(1))["word_end"].alias("last_end"), F.get(F.get("narrators", F.lit(0))["word_ranges"], F.lit(0))["word_end"].alias("narrator_end"), F.array_join("topics", " ").alias("topics"))
+
+
+@query("""
+WITH w AS (SELECT conv_id, turn, string_split(coalesce(text, ''), ' ') AS w, coalesce(text, '') AS t FROM conversations),
+f AS (SELECT conv_id, turn, w, replace(replace(t, 'the', 'thé'), 'Of', 'Óf') AS t, [CASE x WHEN 'the' THEN 'thé' WHEN 'the,' THEN 'thé,' WHEN 'the.' THEN 'thé.' WHEN 'Of' THEN 'Óf' WHEN 'Of,' THEN 'Óf,' WHEN 'Of.' THEN 'Óf.' ELSE x END FOR x IN w] AS v FROM w)
+SELECT conv_id, turn, md5(array_to_string(v, ' ')) AS text, md5(t) AS chunk, len(list_filter(range(1, len(w) + 1), lambda i: w[i] <> v[i]))::INTEGER AS n_fixed FROM f
+""")
+def marked_answers(spark: SparkSession, sf: str) -> DataFrame:
+    m = answers.marked(_answers(spark, sf), "words", "texts", {"the": "thé", "Of": "Óf", "and": "and"})
+    return m.select("conv_id", "turn", F.md5("text").alias("text"), F.md5(F.get("texts", F.lit(0))).alias("chunk"), "n_fixed")
