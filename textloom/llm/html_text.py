@@ -2,7 +2,7 @@
 
 A page is parsed into a tree with the usual implied tags (a ``p`` ends where
 a block begins, ``li`` ends the item before it, cells and rows end each
-other, and so on), and the tree is rendered: everything visible, in order,
+other, a cell without a row begins one, and so on), and the tree is rendered: everything visible, in order,
 with blank lines between paragraphs, list markers with indentation, table
 cells aligned in columns, and ``pre`` kept as it is. A cell is laid out like a
 page of its own, nested tables too, and its lines are aligned with those of its
@@ -23,7 +23,8 @@ what is hidden in print or under a condition such as a width stays.
 from __future__ import annotations
 
 import re
-from collections.abc import Generator, Iterator
+from collections import defaultdict
+from collections.abc import Generator, Iterable, Iterator
 from html import unescape
 from textwrap import TextWrapper
 
@@ -94,16 +95,20 @@ class Node:
 def parse(html: str) -> tuple[Node, set[str]]:
     """The tree, and the selectors that its style sheets hide."""
     root = Node("html", {})
-    stack, hidden, at, n, foreign_seen = [root], set(), 0, len(html), False
+    stack, hidden, at, n = [root], set(), 0, len(html)
+    #: Where the open elements of a name are on the stack, so that a tag costs the same at any depth; 0 stands for none.
+    places: dict[str, list[int]] = defaultdict(list)
+
+    def last(names: Iterable[str]) -> int:
+        return max((places[x][-1] for x in names if places.get(x)), default=0)
+
+    def shut(to: int) -> None:
+        while len(stack) > to:
+            places[stack.pop().tag].pop()
 
     def end(names: set[str], stop: set[str]) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in names:
-                del stack[i:]
-                return end(names, stop)
-            if stack[i].tag in stop:
-                return None
-        return None
+        while (found := last(names)) and found >= last(stop):
+            shut(found)
 
     while at < n:
         start = html.find("<", at)
@@ -123,28 +128,28 @@ def parse(html: str) -> tuple[Node, set[str]]:
             continue
         tag = m[2].lower()
         if m[1]:
-            if tag == "p" and not any(x.tag == "p" for x in stack):
+            if tag == "p" and not last(["p"]):
                 stack[-1].children.append(Node("p", {}))
             else:
                 stop = set() if tag in SCOPE or tag in ("body", "html") else {"td", "th", "table"} - {tag}
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag == tag:
-                        del stack[i:]
-                        break
-                    if stack[i].tag in stop:
-                        break
+                if (found := last([tag])) > last(stop):
+                    shut(found)
             continue
-        if tag in ("html", "body") and any(x.tag == tag for x in stack):
+        if tag == "html" or (tag == "body" and last(["body"])):
             continue
-        foreign = next((x.tag for x in reversed(stack) if x.tag in UNSEEN_IN), None) if foreign_seen else None
-        foreign_seen = foreign_seen or tag in UNSEEN_IN
+        foreign = stack[found].tag if (found := last(UNSEEN_IN)) else None
         attributes = {a[0].lower(): a[1] or a[2] or a[3] for a in ATTRIBUTE.findall(m[3])} if m[3].strip("/ \n\t") else {}
         if tag in ENDS_P:
             end({"p"}, SCOPE)
         if tag in CLOSES:
             end(*CLOSES[tag])
+        if tag in ("td", "th") and last(["table"]) > last(["tr"]):
+            row = Node("tr", {})
+            stack[-1].children.append(row)
+            places["tr"].append(len(stack))
+            stack.append(row)
         if stack[-1].tag == "head" and tag not in RAW | VOID | {"noscript", "template"}:
-            stack.pop()
+            shut(len(stack) - 1)
         if foreign and tag in UNSEEN_IN[foreign]:
             attributes["hidden"] = ""
         if foreign == "svg" and tag == "text":  # stands at a place of its own
@@ -165,6 +170,7 @@ def parse(html: str) -> tuple[Node, set[str]]:
                 node.children.append(unescape(text))
             at = close.end() if close else n
         elif tag not in VOID:
+            places[tag].append(len(stack))
             stack.append(node)
     return root, hidden
 
