@@ -145,3 +145,8 @@ def test_dictionary_entries_keep_their_order(spark):
 def test_citation_codes(spark):
     got = spark.createDataFrame([("(S, K, Msb:) and (A) (no) (TA,) (s, K)",), ("",)], "t string").select(pages.citation_codes(F.col("t")).alias("c")).collect()
     assert [r["c"] for r in got] == [["S", "K", "Msb", "A", "TA"], []]
+
+
+def test_references_that_no_semicolon_ends_stay_text():
+    assert safe("<p>a &amp</p>&amp;amp; &copy 1 &#65; &#66 &AMP; &nosuch; &ampx;") == "<p>a &amp;amp</p>&amp;amp; &amp;copy 1 A &amp;#66 &amp; &amp;nosuch; &amp;ampx;"
+    assert safe('<a href="/x?a=1&copy=2&#58">l</a>') == '<a href="/x?a=1&amp;copy=2&amp;#58">l</a>'
