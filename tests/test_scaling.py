@@ -18,3 +18,19 @@ def test_copies_of_a_title_make_no_pairs(spark, monkeypatch):
     assert made["tfidf_pairs"].count() == 0
     assert {(r["id"], r["other"], r["place"]) for r in found if r["id"] < 2} == {(i, 2 * k + 1 - i, k + 1) for i in (0, 1) for k in range(5)}
     assert len(found) == 300 and {r["similarity"] for r in found} == {1.0}
+
+
+def test_few_keywords_need_no_runs_of_letters(spark):
+    texts = spark.createDataFrame([(1, "the cat and the dog"), (2, "una"), (3, None), (4, "")], "id long, t string")
+    words = spark.createDataFrame([("the ", "en"), ("and ", "en"), ("un", "es"), ("na", "fr")], "k string, topic string")
+    votes = matching.voted(texts, "id", F.col("t"), words, "k", "topic")
+    assert {tuple(r) for r in votes.collect()} == {(1, "en", 2, 1), (2, "es", 1, 1), (2, "fr", 1, 2)}
+    assert "regexp_extract_all" not in plan(votes)
+
+
+def test_few_and_many_phrases_agree(spark, monkeypatch):
+    texts = spark.createDataFrame([(i, f"xab{i} cd{i % 7} e") for i in range(50)], "id long, t string")
+    phrases = spark.createDataFrame([(i, p) for i, p in enumerate(["ab1", "cd3 e", "", "e", "zz", "b4", " "])], "pid long, p string")
+    one = {tuple(r) for r in matching.contained(texts, "id", F.col("t"), phrases, "pid", "p").collect()}
+    monkeypatch.setattr(matching, "FEW_PHRASES", 0)
+    assert one == {tuple(r) for r in matching.contained(texts, "id", F.col("t"), phrases, "pid", "p").collect()} and one

@@ -8,6 +8,8 @@ from pyspark.sql.window import Window
 
 #: Phrases, keys or keywords up to this number are sent to all tasks; more are joined with.
 MOST_PHRASES = 200_000
+#: So few phrases are looked for one by one in each text.
+FEW_PHRASES = 64
 
 
 def _sent(df: DataFrame) -> DataFrame:
@@ -17,12 +19,19 @@ def _sent(df: DataFrame) -> DataFrame:
 def contained(texts: DataFrame, id_col: str, text: Column, phrases: DataFrame, phrase_id: str, phrase: str, size: int = 4) -> DataFrame:
     """(id, phrase_id): which texts hold which phrases, anywhere, as ``contains`` says.
 
-    An equi-join on the first ``size`` characters of a phrase, and only what
-    meets there is searched; shorter phrases are joined whole.
+    A few phrases are each looked for in the text. Of more, an equi-join on the
+    first ``size`` characters of a phrase, and only what meets there is
+    searched; shorter phrases are joined whole.
     """
     named = phrases.select(F.col(phrase_id).alias("_pid"), F.col(phrase).alias("_phrase")).where(F.col("_phrase") != "")
     long, short = named.where(F.length("_phrase") >= size), named.where(F.length("_phrase") < size)
     said = texts.select(F.col(id_col).alias("_id"), text.alias("_text"))
+    few = named.limit(FEW_PHRASES + 1).collect()
+    if len(few) <= FEW_PHRASES:
+        kind = named.schema
+        held = F.array(*[F.when(F.col("_text").contains(p["_phrase"]), F.struct(F.lit(p["_pid"]).cast(kind["_pid"].dataType).alias("_pid"))) for p in few]) if few else F.array().cast("array<struct<_pid:string>>")
+        held = F.filter(held, lambda x: x.isNotNull())
+        return said.select("_id", F.explode(held).alias("x")).select(F.col("_id").alias(id_col), F.col("x._pid").alias(phrase_id)).distinct()
     # A look-ahead gives overlapping runs in one pass over the text. Only they travel; what meets a phrase meets its text again.
     grams = F.array_distinct(F.regexp_extract_all("_text", F.lit(f"(?s)(?=(.{{{size}}}))"), 1))
     met = said.select("_id", F.explode(grams).alias("_gram")).join(_sent(long.withColumn("_gram", F.left("_phrase", F.lit(size)))), "_gram").drop("_gram")
