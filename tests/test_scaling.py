@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from textloom.functions.text import tokens
-from textloom.operators import linking, matching
+from textloom.operators import chapters, linking, matching
 
 
 def plan(df):
@@ -34,3 +34,13 @@ def test_few_and_many_phrases_agree(spark, monkeypatch):
     one = {tuple(r) for r in matching.contained(texts, "id", F.col("t"), phrases, "pid", "p").collect()}
     monkeypatch.setattr(matching, "FEW_PHRASES", 0)
     assert one == {tuple(r) for r in matching.contained(texts, "id", F.col("t"), phrases, "pid", "p").collect()} and one
+
+
+def test_tasks_of_chapters_dont_grow_with_the_table(spark):
+    links = spark.createDataFrame([(i % 2, i, i % 5) for i in range(40)], "c int, i int, m int")
+    clusters = links.selectExpr("i", "i % 3 as k").distinct()
+    few, many = (chapters.corroboration(links, "c", "i", "m", clusters, "k", rows=rows) for rows in (40, 9_000_000))
+    assert {tuple(r) for r in few.collect()} == {tuple(r) for r in many.collect()} == {(c, m, 4, 3) for c in (0, 1) for m in range(5)}
+    assert "RepartitionByExpression [c" in plan(many) and ", 9" in plan(many)
+    of = chapters.shared_members(links, "i", "m", clusters, "k", rows=9_000_000)
+    assert "RepartitionByExpression [k" in plan(of) and ", 9" in plan(of)

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from textloom.operators.ordering import numbered
 from textloom.operators.volumes import running
-from textloom.tables import stage
+from textloom.tables import spread, stage
 
 
 def excluded(profile: DataFrame, placeholder: Column) -> DataFrame:
@@ -41,16 +41,18 @@ def grading_mix(rows: DataFrame, chapter: str, scholar: Column, grade: Column) -
     return rows.groupBy(chapter, scholar.alias("scholar"), grade.alias("grade")).agg(F.count("*").alias("n"))
 
 
-def corroboration(links: DataFrame, chapter: str, item: str, member: str, clusters: DataFrame, cluster: str, least: int = 2) -> DataFrame:
-    """(chapter, member, n_items, n_paths): members that several clusters of items, which share nothing else, lead to."""
-    met = links.select(chapter, item, member).distinct().join(clusters.select(item, cluster), item)
+def corroboration(links: DataFrame, chapter: str, item: str, member: str, clusters: DataFrame, cluster: str, least: int = 2, rows: int = 0) -> DataFrame:
+    """(chapter, member, n_items, n_paths): members that several clusters of items, which share nothing else, lead to; ``rows`` says about how many links there are."""
+    met = spread(links.select(chapter, item, member), rows, item).distinct().join(spread(clusters.select(item, cluster), rows, item), item)
+    met = spread(met, rows, chapter, member)
     out = met.groupBy(chapter, member).agg(F.count_distinct(item).alias("n_items"), F.count_distinct(cluster).alias("n_paths"))
     return out.where((F.col("n_items") >= least) & (F.col("n_paths") >= least))
 
 
-def shared_members(links: DataFrame, item: str, member: str, clusters: DataFrame, cluster: str, top: int = 5) -> DataFrame:
-    """(cluster, member, n, place): who holds the items of a cluster together, that is, occurs in more than one of them."""
-    met = links.select(item, member).distinct().join(clusters.select(item, cluster), item)
+def shared_members(links: DataFrame, item: str, member: str, clusters: DataFrame, cluster: str, top: int = 5, rows: int = 0) -> DataFrame:
+    """(cluster, member, n, place): who holds the items of a cluster together, that is, occurs in more than one of them; ``rows`` says about how many links there are."""
+    met = spread(links.select(item, member), rows, item).distinct().join(spread(clusters.select(item, cluster), rows, item), item)
+    met = spread(met, rows, cluster)
     n = met.groupBy(cluster, member).agg(F.count("*").alias("n")).where("n > 1")
     place = F.row_number().over(Window.partitionBy(cluster).orderBy(F.desc("n"), member))
     return n.withColumn("place", place.cast("long")).where(F.col("place") <= top)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from textloom.functions.text import latin_tokens
 from textloom.operators import chapters, counting, documents, lexicon, matching, search
 from textloom.plans.registry import ORACLE, query
-from textloom.tables import stage, table
+from textloom.tables import spread, stage, table
 
 SPELT = "spelt AS (SELECT CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE upper(p_name) END AS word, min(p_type) AS gloss, count(*) AS n FROM part WHERE p_size > 25 GROUP BY 1)"
 
@@ -241,10 +241,18 @@ SOLD = "l AS (SELECT o_orderpriority AS chapter, l_orderkey AS item, l_suppkey A
 
 
 def _sold(spark: SparkSession, sf: str) -> DataFrame:
-    met = table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    lines, orders = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey"), table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_custkey")
+    rows = lines.count()
+    met = spread(lines, rows, "l_orderkey").join(spread(orders, rows, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     return met.select(F.col("o_orderpriority").alias("chapter"), F.col("l_orderkey").alias("item"), F.col("l_suppkey").alias("member"), F.col("o_custkey").alias("cluster"))
 
 
+def _buyers(spark: SparkSession, sf: str) -> DataFrame:
+    """(item, cluster), each once."""
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("item"), F.col("o_custkey").alias("cluster"))
+    return spread(orders, orders.count(), "item").distinct()
+
+
 @query(f"""
 WITH {SOLD}, s AS (SELECT DISTINCT chapter, item, member FROM l), t AS (SELECT chapter, count(DISTINCT item) AS n_items FROM s GROUP BY 1),
 n AS (SELECT chapter, member, count(*) AS n FROM s WHERE member NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 2000) GROUP BY ALL)
@@ -273,14 +281,12 @@ def chapter_gradings(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {SOLD} SELECT chapter, member, count(DISTINCT item) AS n_items, count(DISTINCT cluster) AS n_paths FROM l GROUP BY ALL HAVING n_items >= 2 AND n_paths >= 2")
 def chapter_corroboration(spark: SparkSession, sf: str) -> DataFrame:
-    sold = _sold(spark, sf)
-    return chapters.corroboration(sold, "chapter", "item", "member", sold.select("item", "cluster").distinct(), "cluster")
+    return chapters.corroboration(_sold(spark, sf), "chapter", "item", "member", _buyers(spark, sf), "cluster", rows=table(spark, sf, "lineitem").count())
 
 
 @query(f"WITH {SOLD}, n AS (SELECT cluster, member, count(DISTINCT item) AS n FROM l GROUP BY ALL) SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, member) AS place FROM n WHERE n > 1 QUALIFY place <= 5")
 def chapter_spine(spark: SparkSession, sf: str) -> DataFrame:
-    sold = _sold(spark, sf)
-    return chapters.shared_members(sold, "item", "member", sold.select("item", "cluster").distinct(), "cluster")
+    return chapters.shared_members(_sold(spark, sf), "item", "member", _buyers(spark, sf), "cluster", rows=table(spark, sf, "lineitem").count())
 
 
 @query("WITH p AS (SELECT user_id, count_if(event_type IN ('view', 'click')) AS s, count(*) AS n, avg(value) AS v FROM events GROUP BY 1) SELECT user_id, (s > 0 AND 2 * s >= n) AS is_source, user_id % 10 = 0 OR (s > 0 AND 2 * s >= n) AS is_excluded FROM p")

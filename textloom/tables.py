@@ -60,6 +60,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, rows: int, *keys: str, each: int = 1_000_000) -> DataFrame:
+    """``df`` of about ``rows`` rows by its keys, in so many partitions that a task's part doesn't grow with the table."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, -(-rows // each)), *keys)
+
+
 def clear_stage(spark: SparkSession) -> None:
     """Delete what this application has staged; results that haven't been written yet can't be read afterwards."""
     path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
