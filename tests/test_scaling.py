@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from textloom.functions.text import tokens
-from textloom.operators import chapters, linking, matching
+from textloom.operators import chapters, linking, matching, search
 
 
 def plan(df):
@@ -36,6 +36,20 @@ def test_few_and_many_phrases_agree(spark, monkeypatch):
     assert one == {tuple(r) for r in matching.contained(texts, "id", F.col("t"), phrases, "pid", "p").collect()} and one
 
 
+def test_postings_travel_no_more_for_what_is_counted_by_document(spark):
+    docs = spark.createDataFrame([(i, f"the word{i % 3} the") for i in range(30)], "id long, t string")
+    index = search.postings(docs, "id", tokens(F.col("t")))
+    by_document = index.groupBy("id").agg(F.sum("n").alias("n"))
+    assert {r["n"] for r in by_document.collect()} == {3}
+    assert by_document._jdf.queryExecution().sparkPlan().toString().count("REPARTITION_BY_COL") == 1
+    assert by_document._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("Exchange ") == 1
+    asked = docs.where("id < 4").select("id", "t")
+    plain = lambda rows: {(r["q"], r["id"], r["score"]) for r in rows.collect()}
+    asked = asked.withColumnRenamed("id", "q")
+    given = search.lengths(docs, "id", tokens(F.col("t")))
+    assert plain(search.ranked(index, "id", asked, "q", tokens(F.col("t")))) == plain(search.ranked(index, "id", asked, "q", tokens(F.col("t")), docs=given))
+
+
 def test_tasks_of_chapters_dont_grow_with_the_table(spark):
     links = spark.createDataFrame([(i % 2, i, i % 5) for i in range(40)], "c int, i int, m int")
     clusters = links.selectExpr("i", "i % 3 as k").distinct()

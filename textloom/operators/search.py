@@ -17,26 +17,39 @@ def book_docs(rows: DataFrame, path: str, title: Column, texts: Column, default:
 
 
 def postings(docs: DataFrame, id_col: str, words: Column) -> DataFrame:
-    """(term, id, n, length): how often each document has each term, and its length; a row each, never a list."""
-    d = docs.select(id_col, words.alias("_w"))
+    """(term, id, n, length): how often each document has each term, and its length; a row each, never a list.
+
+    Texts are laid out by id, so that what is counted by document travels no more.
+    """
+    d = docs.repartition(F.col(id_col)).select(id_col, words.alias("_w"))
     return d.select(id_col, F.size("_w").cast("long").alias("length"), F.explode("_w").alias("term")).groupBy("term", id_col, "length").agg(F.count("*").alias("n"))
 
 
-def ranked(index: DataFrame, id_col: str, queries: DataFrame, query_id: str, terms: Column, top: int = 5, prefix: int = 0, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+def lengths(docs: DataFrame, id_col: str, words: Column) -> DataFrame:
+    """(id, length) of the documents that have words, as their postings say it."""
+    return docs.select(id_col, F.size(words).cast("long").alias("length")).where("length > 0").distinct()
+
+
+def ranked(index: DataFrame, id_col: str, queries: DataFrame, query_id: str, terms: Column, top: int = 5, prefix: int = 0, k1: float = 1.2, b: float = 0.75, docs: DataFrame | None = None) -> DataFrame:
     """(query_id, id, score, place): the best documents of each query by BM25 (Robertson and Walker, 1994).
 
     A term of a query stands for itself or, with ``prefix``, for all terms that
     start with it, if it has so many characters. Queries meet the postings in
-    an equi-join, so only documents that share a term are scored.
+    an equi-join, so only documents that share a term are scored, and postings
+    of other terms aren't made. ``docs`` are the ``lengths``, if they are at
+    hand; else they are taken from the index.
     """
-    docs = index.select(id_col, "length").distinct()
+    docs = index.select(id_col, "length").distinct() if docs is None else docs
     corpus = docs.agg(F.count("*").alias("_docs"), F.avg("length").alias("_mean"))  # one row
     asked = queries.select(query_id, F.explode(F.array_distinct(terms)).alias("asked"))
     df = index.groupBy("term").agg(F.count("*").alias("df"))
     known = df.withColumn("asked", F.explode(F.array_distinct(F.array(F.col("term"), *([F.left("term", F.lit(prefix))] if prefix else [])))))
     wanted = asked.join(known, "asked").where((F.col("asked") == F.col("term")) | (F.length("asked") >= max(prefix, 1))).select(query_id, "term", "df").distinct()
-    wanted = F.broadcast(wanted) if wanted.limit(MOST_PHRASES + 1).count() <= MOST_PHRASES else wanted
-    met = index.join(wanted, "term").join(F.broadcast(corpus))
+    wanted = stage(wanted, "search_wanted")
+    held = wanted.select("term").distinct()
+    if wanted.limit(MOST_PHRASES + 1).count() <= MOST_PHRASES:
+        wanted, held = F.broadcast(wanted), F.broadcast(held)
+    met = index.join(held, "term", "left_semi").join(wanted, "term").join(F.broadcast(corpus))
     idf = F.log(1 + (F.col("_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = idf * F.col("n") * (k1 + 1) / (F.col("n") + k1 * (1 - b + b * F.col("length") / F.col("_mean")))
     scored = met.groupBy(query_id, id_col).agg(F.round(F.sum(weight), 6).alias("score"))
@@ -44,14 +57,15 @@ def ranked(index: DataFrame, id_col: str, queries: DataFrame, query_id: str, ter
     return scored.withColumn("place", place.cast("long")).where(F.col("place") <= top)
 
 
-def block_postings(index: DataFrame, id_col: str, per_block: int = 256, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+def block_postings(index: DataFrame, id_col: str, per_block: int = 256, k1: float = 1.2, b: float = 0.75, docs: DataFrame | None = None) -> DataFrame:
     """(term, block, docs, most): the postings in blocks of documents, each with its documents' weights by BM25 and the largest of them.
 
     A document is in one block, the same for all its terms, and a block has
     about ``per_block`` documents; so a term that most documents have is many
     rows, and its documents are counted from the blocks.
     """
-    docs = index.select(id_col, "length").distinct().agg(F.count("*").alias("_docs"), F.avg("length").alias("_mean")).first()  # two numbers
+    docs = index.select(id_col, "length").distinct() if docs is None else docs
+    docs = docs.agg(F.count("*").alias("_docs"), F.avg("length").alias("_mean")).first()  # two numbers
     n_docs, mean = docs["_docs"], docs["_mean"] or 1.0
     block = F.pmod(F.xxhash64(id_col), F.lit(max(1, -(-n_docs // per_block)))).alias("block")
     blocks = index.groupBy("term", block).agg(F.collect_list(F.struct(F.col(id_col).alias("id"), "n", "length")).alias("docs"))
@@ -76,13 +90,15 @@ def pruned_blocks(blocks: DataFrame, queries: DataFrame, query_id: str, terms: C
     left out. The result is that of scoring all.
     """
     asked = stage(queries.select(F.col(query_id).alias("_q"), F.explode(F.array_distinct(terms)).alias("term")), "search_asked")
+    sent = lambda df: F.broadcast(df) if df.limit(MOST_PHRASES + 1).count() <= MOST_PHRASES else df
+    asked = sent(asked)
     bounds = blocks.select("term", "block", "most").join(asked, "term").groupBy("_q", "block").agg(F.sum("most").alias("bound"))
     bounds = stage(bounds, "search_bounds")
     place = Window.partitionBy("_q").orderBy(F.desc("bound"), "block")
     ahead = bounds.withColumn("_place", F.row_number().over(place)).where(F.col("_place") <= first).select("_q", "block")
 
     def scored(pairs: DataFrame) -> DataFrame:
-        met = pairs.join(asked, "_q").join(blocks.select("term", "block", "docs"), ["term", "block"])
+        met = sent(stage(pairs.join(asked, "_q"), "search_pairs")).join(blocks.select("term", "block", "docs"), ["term", "block"])
         each = met.select("_q", F.explode("docs").alias("d")).groupBy("_q", F.col("d.id").alias("_id")).agg(F.sum("d.weight").alias("score"))
         return stage(each.withColumn("score", F.round("score", 6)), "search_scored")
 

@@ -194,6 +194,10 @@ LATIN = "list_filter(regexp_extract_all(lower({}), '[a-z'']+'), lambda w: length
 INDEX = f"d AS (SELECT doc_id, {LATIN.format('text')} AS w FROM documents), i AS (SELECT term, doc_id, length, count(*) AS n FROM (SELECT doc_id, len(w) AS length, unnest(w) AS term FROM d) GROUP BY ALL)"
 
 
+def _lengths(spark: SparkSession, sf: str) -> DataFrame:
+    return search.lengths(table(spark, sf, "documents"), "doc_id", latin_tokens(F.col("text")))
+
+
 def _index(spark: SparkSession, sf: str) -> DataFrame:
     return search.postings(table(spark, sf, "documents"), "doc_id", latin_tokens(F.col("text")))
 
@@ -212,13 +216,13 @@ SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) A
 
 @query(f"WITH {INDEX}, q AS (SELECT DISTINCT item_id, unnest({LATIN.format('text')}) AS term FROM benchmark), {SCORED}")
 def search_top5(spark: SparkSession, sf: str) -> DataFrame:
-    return search.ranked(_index(spark, sf), "doc_id", table(spark, sf, "benchmark"), "item_id", latin_tokens(F.col("text")))
+    return search.ranked(_index(spark, sf), "doc_id", table(spark, sf, "benchmark"), "item_id", latin_tokens(F.col("text")), docs=_lengths(spark, sf))
 
 
 @query(ORACLE["search_top5"])
 def search_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """The same answers from postings in blocks, of which those are left out whose documents can't be among the best."""
-    blocks = stage(search.block_postings(_index(spark, sf), "doc_id"), "search_index")
+    blocks = stage(search.block_postings(_index(spark, sf), "doc_id", docs=_lengths(spark, sf)), "search_index")
     found, _ = search.pruned_blocks(blocks, table(spark, sf, "benchmark"), "item_id", latin_tokens(F.col("text")), "doc_id")
     return found
 
@@ -226,7 +230,7 @@ def search_blocks(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"WITH {INDEX}, a AS (SELECT DISTINCT item_id, left(unnest({LATIN.format('text')}), 6) AS asked FROM benchmark), q AS (SELECT DISTINCT item_id, term FROM a JOIN (SELECT DISTINCT term FROM i) t ON term = asked OR (length(asked) = 6 AND starts_with(term, asked))), {SCORED}")
 def search_prefixes(spark: SparkSession, sf: str) -> DataFrame:
     asked = F.transform(latin_tokens(F.col("text")), lambda w: F.left(w, F.lit(6)))
-    return search.ranked(_index(spark, sf), "doc_id", table(spark, sf, "benchmark"), "item_id", asked, prefix=6)
+    return search.ranked(_index(spark, sf), "doc_id", table(spark, sf, "benchmark"), "item_id", asked, prefix=6, docs=_lengths(spark, sf))
 
 
 @query("SELECT lang AS book, doc_id AS path, CASE WHEN regexp_full_match(source, 'Chapter [0-9]+') THEN '' ELSE source END AS title, md5(trim(regexp_replace(coalesce(CASE WHEN lang = 'en' THEN text ELSE '<b>' || source || '</b> ' || lang END, ''), '<[^>]+>', '', 'g'))) AS text FROM documents")
