@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from textloom.functions import arabic
 from textloom.functions.text import tokens
 from textloom.operators import chapters, linking, matching, search
 
@@ -58,3 +59,10 @@ def test_tasks_of_chapters_dont_grow_with_the_table(spark):
     assert "RepartitionByExpression [c" in plan(many) and ", 9" in plan(many)
     of = chapters.shared_members(links, "i", "m", clusters, "k", rows=9_000_000)
     assert "RepartitionByExpression [k" in plan(of) and ", 9" in plan(of)
+
+
+def test_names_are_folded_in_one_pass(spark):
+    x = spark.createDataFrame([("  \u0640\u0623\u0628\u064e \t\u0649\u060c  \u0629\u061f\u00a0",), (" a  b ",), ("\u200b",), (None,)], "t string")
+    folded = x.select(arabic.normalize(F.col("t")).alias("n"))
+    assert [r["n"] for r in folded.collect()] == ["\u0627\u0628 \u064a, \u0647?", "a b", "", None]
+    assert plan(folded).count("translate(") == 1

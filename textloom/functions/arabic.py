@@ -19,7 +19,9 @@ LETTERS_TO = "ااااهيوييك"
 PUNCTUATION_FROM, PUNCTUATION_TO = "،؛؟", ",;?"
 QURANIC_MARKS = r"[\x{0610}-\x{061A}\x{064B}-\x{065F}\x{0670}\x{06D6}-\x{06DC}\x{06DF}-\x{06E4}\x{06E7}-\x{06E8}]"
 WIDE_MARKS = r"[\x{0610}-\x{061A}\x{064B}-\x{065F}\x{0670}\x{06D6}-\x{06DC}\x{06DF}-\x{06E8}\x{06EA}-\x{06ED}\x{08D3}-\x{08FF}]"
-BLANKS = r"(?U)[\s\x{00A0}\x{200B}-\x{200D}\x{FEFF}]+"
+_BLANK = r"\s\x{00A0}\x{200B}-\x{200D}\x{FEFF}"
+#: Runs of blanks but single spaces, which stay as they are.
+BLANKS = rf"(?U) [{_BLANK}]+|[{_BLANK}&&[^ ]][{_BLANK}]*"
 ARABIC_BLOCKS = r"\x{0600}-\x{06FF}\x{0750}-\x{077F}\x{FB50}-\x{FDFF}\x{FE70}-\x{FEFF}"
 
 
@@ -46,7 +48,8 @@ def squeeze_blanks(c: Column) -> Column:
 
 def normalize(c: Column) -> Column:
     """For comparison: without tatweel and vowel marks, letters and punctuation folded, blanks squeezed."""
-    return squeeze_blanks(fold_punctuation(fold_letters(strip_tashkeel(strip_tatweel(c)))))
+    # One pass; what is dropped comes last, as it has no counterpart.
+    return squeeze_blanks(F.translate(c, LETTERS_FROM + PUNCTUATION_FROM + TATWEEL + TASHKEEL, LETTERS_TO + PUNCTUATION_TO))
 
 
 def normalize_with_marks(c: Column) -> Column:

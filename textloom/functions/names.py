@@ -34,7 +34,7 @@ MARKS = f"[{arabic.TASHKEEL}]*"
 def without_suffixes(c: Column) -> Column:
     """A normalised name without formulas, abbreviations, particles and punctuation at its end, however many."""
     whole = rf"\s*\(\s*(?:{_any(FORMULAS + SHORT_FORMULAS)})\.?\s*\)|\s+(?:{_any(FORMULAS + SHORT_FORMULAS + TRAILING_WORDS)})|\s*[:,;.?\-–—]"
-    return F.regexp_replace(c, rf"(?:{whole})+\s*$", "")
+    return F.regexp_replace(c, rf"(?=[\s(:,;.?\-–—])(?:{whole})+\s*$", "")
 
 
 def without_opening_verb(c: Column) -> Column:
