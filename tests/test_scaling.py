@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import arabic
 from textloom.functions.text import tokens
-from textloom.operators import chapters, linking, matching, search
+from textloom.operators import chapters, counting, linking, matching, search
 
 
 def plan(df):
@@ -66,3 +66,10 @@ def test_names_are_folded_in_one_pass(spark):
     folded = x.select(arabic.normalize(F.col("t")).alias("n"))
     assert [r["n"] for r in folded.collect()] == ["\u0627\u0628 \u064a, \u0647?", "a b", "", None]
     assert plan(folded).count("translate(") == 1
+
+
+def test_words_are_counted_by_text_in_place(spark):
+    rows = spark.createDataFrame([(1, "a b a"), (1, "a"), (2, "a c"), (None, "c"), (3, None)], "id long, t string")
+    counts = counting.surface_counts(rows, "id", tokens(F.col("t")))
+    assert {tuple(r) for r in counts.collect()} == {("a", 4, 2, 1), ("b", 1, 1, 1), ("c", 2, 1, 2)}
+    assert "RepartitionByExpression [id" in plan(counts)

@@ -13,9 +13,10 @@ def posting_ends(rows: DataFrame, keys: list[str], item: str) -> DataFrame:
 
 
 def surface_counts(rows: DataFrame, id_col: str, words: Column) -> DataFrame:
-    """(surface, n, n_texts, first_text) of each distinct word."""
-    said = rows.select(id_col, F.explode(words).alias("surface"))
-    return said.groupBy("surface").agg(F.count("*").alias("n"), F.count_distinct(id_col).alias("n_texts"), F.min(id_col).alias("first_text"))
+    """(surface, n, n_texts, first_text) of each distinct word. Texts are laid out by id, so a word's counts by text are added up before they travel."""
+    said = rows.repartition(F.col(id_col)).select(id_col, F.explode(words).alias("surface"))
+    each = said.groupBy("surface", id_col).agg(F.count("*").alias("n"))
+    return each.groupBy("surface").agg(F.sum("n").alias("n"), F.count(id_col).alias("n_texts"), F.min(id_col).alias("first_text"))
 
 
 def surface_summary(counts: DataFrame) -> DataFrame:

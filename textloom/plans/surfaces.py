@@ -24,7 +24,7 @@ FROM a
 """)
 def surface_forms(spark: SparkSession, sf: str) -> DataFrame:
     """Word forms with analyses made of their letters, and glosses of lemmas by part of speech."""
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents").repartition("doc_id")  # what is counted by document travels no more
     said = d.select("doc_id", F.explode(latin_tokens(F.col("text"))).alias("surface"))
     s = F.col("surface")
     pos = F.element_at(F.array(*map(F.lit, POS)), F.length(s) % 5 + 1)
