@@ -161,6 +161,14 @@ def test_encoder_forgets_what_is_not_used(monkeypatch):
     assert len(encode.words) <= 3 and len(encode.words.older) <= 3
 
 
+def test_encoder_learns_a_word_once_however_it_is_written():
+    encode, texts = packing.Encoder(VOCABULARY), ["Haus haus, HAUS. (haus)!? Haus's", "haus,haus\tHAUS!?", "日 HAUS. haus,"]
+    for t in texts[:2]:
+        assert np.frombuffer(encode(t), "<u4").tolist() == plain_ids(t)
+    assert encode.words.keys() == {"haus", ",", ".", "(", ")!?", "!?", "'s"}
+    assert np.frombuffer(encode(texts[2]), "<u4").tolist() == plain_ids(texts[2])
+
+
 def test_packing_query_equals_plain_tokenizer(spark):
     """Every piece, its place and checksum; each id of each document once, sequences without gaps and with little padding."""
     rows = QUERIES["op9_packing"](spark, DATA).collect()

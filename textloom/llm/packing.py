@@ -26,6 +26,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from codecs import charmap_decode
 from collections.abc import Callable, Iterator
 from functools import cache
 
@@ -37,26 +38,26 @@ from pyspark.sql import functions as F
 
 #: Open examples of a task; only what a bin gives back comes on top.
 POOL = 256
-#: Words in a worker's cache (twice as many at most), and the longest word kept in it.
+#: Parts and words in a worker's cache (twice as many at most), and the longest kept in it.
 CACHE, CACHED_LENGTH = 120_000, 64
-#: What the vocabularies of this kind take apart in a word of Latin-1: runs of letters, single digits, runs of other signs.
-PART = re.compile("[A-Za-zªµºÀ-ÖØ-öø-ÿ]+|[0-9²³¹¼½¾]|[^A-Za-zªµºÀ-ÖØ-öø-ÿ0-9²³¹¼½¾]+")
+#: What the vocabularies of this kind take apart in lower-case Latin-1: runs of letters, endings after an apostrophe, single digits, runs of other signs.
+PART = re.compile(r"[a-zªµºß-öø-ÿ]+|'(?:[stmd]|re|ve|ll)|[0-9²³¹¼½¾]|[^\sa-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
 #: To see whether a vocabulary is of this kind.
-PROBES = ["the", "Example.", "ZÉBRÉ,", "straße!?", "niño...", "won.$$$", "Internationalisation", "a1", "ª²", "7.5%", "x_y-z@w.de", "µ(ß)"]
+PROBES = ["the", "Example.", "ZÉBRÉ,", "straße!?", "niño...", "won.$$$", "Internationalisation", "a1", "ª²", "7.5%", "x_y-z@w.de", "µ(ß)", "I'LL", "don't!", "'re've'm", "'said", "!'s", "it''s'"]
 
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long, ids binary"
 
 
 class Words(dict):
-    """Ids of words as bytes. A word that isn't known is encoded and kept; what isn't used for long is forgotten."""
+    """Ids of parts and words as bytes. One that isn't known is encoded and kept; what isn't used for long is forgotten."""
 
     def __init__(self, tokenizer: object) -> None:
         self.tokenizer, self.model = tokenizer, tokenizer.model
         self.older: dict[str, bytes] = {}
-        # Byte-level vocabularies name a byte over 0x7F by a character of its own: U+00A1 on as they are, the rest from U+0100 on.
+        # Byte-level vocabularies name each byte by a character: visible ones of Latin-1 as they are, the rest from U+0100 on.
         named = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
-        of_byte = [chr(256 + named.index(b)) if b in named else chr(b) for b in range(256)]
-        self.bytes_named = {c: "".join(of_byte[b] for b in chr(c).encode()) for c in range(0x80, 0x100)}
+        self.of_byte = "".join(chr(256 + named.index(b)) if b in named else chr(b) for b in range(256))
+        self.of_id = [struct.pack("<I", i) for i in range(max(tokenizer.get_vocab().values(), default=-1) + 1)]
         self.in_parts = True
         self.in_parts = all(self[w] == self.encode(w) for w in PROBES)
         self.clear()
@@ -66,28 +67,19 @@ class Words(dict):
 
     def of_letters(self, word: str) -> bytes:
         """Ids of a lower-case word of Latin letters."""
-        ids = [t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.bytes_named))]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def joined(self, word: str) -> bytes:
-        """Ids of a word of Latin-1 from those of its parts."""
-        parts = PART.findall(word.lower())
-        if len(parts) > 1:
-            return b"".join([self[x] for x in parts])
-        return self.of_letters(parts[0]) if parts[0].isalpha() else self.encode(word)
+        of_id = self.of_id
+        return b"".join([of_id[t.id] for t in self.model.tokenize(charmap_decode(word.encode(), "strict", self.of_byte)[0])])
 
     def __missing__(self, word: str) -> bytes:
         ids = self.older.get(word)
         if ids is None:
-            if not self.in_parts or "'" in word or not (word.isascii() or is_latin(word)):
+            if not self.in_parts or not is_latin(word):
                 ids = self.encode(word)
-            elif word.isalpha():
-                low = word.lower()
-                ids = self.of_letters(word) if low == word else self[low]
-            elif word[-1] in ".," and word[:-1].isalpha():
-                ids = self[word[:-1].lower()] + self[word[-1]]
+            elif word.isalpha() and word.islower():
+                ids = self.of_letters(word)
             else:
-                ids = self.joined(word)
+                parts = PART.findall(word.lower())
+                ids = b"".join([self[x] for x in parts]) if parts != [word] else self.encode(word)
         if len(word) <= CACHED_LENGTH:
             if len(self) >= CACHE:
                 self.older = dict(self)
@@ -98,6 +90,8 @@ class Words(dict):
 
 def is_latin(text: str) -> bool:
     """Whether it has no character beyond Latin-1."""
+    if text.isascii():
+        return True
     try:
         text.encode("latin-1")
     except UnicodeEncodeError:
@@ -109,8 +103,9 @@ class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, as the tokenizer gives them without adding special ones.
 
     The vocabulary never joins what white space separates, so a text's ids are
-    those of its words in turn, and words are looked up in a bounded cache.
-    Texts that name a special token, or hold white space of which Python and
+    those of its words in turn, and in Latin-1 those of its words' parts in
+    lower case, which are far fewer: "Word", "word," and "word" share theirs.
+    Parts, and the words of other texts, are looked up in a bounded cache. Texts that name a special token, or hold white space of which Python and
     the tokenizer think differently, are encoded whole.
     """
 
@@ -127,7 +122,8 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         if any(x in text for x in self.apart):
             return self.words.encode(text)
-        return b"".join(map(self.words.__getitem__, text.split()))
+        parts = PART.findall(text.lower()) if self.words.in_parts and is_latin(text) else text.split()
+        return b"".join(map(self.words.__getitem__, parts))
 
 
 @cache
