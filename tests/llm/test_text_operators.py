@@ -169,6 +169,20 @@ def test_encoder_learns_a_word_once_however_it_is_written():
     assert np.frombuffer(encode(texts[2]), "<u4").tolist() == plain_ids(texts[2])
 
 
+@pytest.mark.parametrize("together", [1, 40, 1 << 22])
+def test_texts_taken_apart_together_equal_tokenizer(monkeypatch, together):
+    monkeypatch.setattr(packing, "TOGETHER", together)
+    texts = ["", "It's WE'LL 'said", "!'s ''t's's 're", "", "x²y7.5%", "日本 don't", "\x01'\x7f é\xa0b\x85c", "a <|endoftext|>b", "w'", "'ll", "a\x1cb", " \n"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in ENCODER.many(texts)] == [plain_ids(t) for t in texts]
+    assert list(ENCODER.many([])) == []
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.characters(max_codepoint=255) | st.sampled_from("aAsStTrReEvVlLmMdD''!.1 "), max_size=30), max_size=6))
+def test_texts_taken_apart_together_equal_tokenizer_on_any_texts(texts):
+    assert [np.frombuffer(x, "<u4").tolist() for x in ENCODER.many(texts)] == [plain_ids(t) for t in texts]
+
+
 def test_packing_query_equals_plain_tokenizer(spark):
     """Every piece, its place and checksum; each id of each document once, sequences without gaps and with little padding."""
     rows = QUERIES["op9_packing"](spark, DATA).collect()

@@ -27,8 +27,9 @@ import re
 import struct
 import zlib
 from codecs import charmap_decode
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,11 @@ POOL = 256
 CACHE, CACHED_LENGTH = 120_000, 64
 #: What the vocabularies of this kind take apart in lower-case Latin-1: runs of letters, endings after an apostrophe, single digits, runs of other signs.
 PART = re.compile(r"[a-zªµºß-öø-ÿ]+|'(?:[stmd]|re|ve|ll)|[0-9²³¹¼½¾]|[^\sa-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
+#: The same by bytes of Latin-1: lower case, and white space, letters, digits and other signs as 0 to 3.
+LOWER = bytes(ord(chr(b).lower()) for b in range(256))
+KIND = bytes(0 if chr(b).isspace() else 1 if chr(b).isalpha() else 2 if chr(b).isnumeric() else 3 for b in range(256))
+#: Characters of texts that are taken apart at once.
+TOGETHER = 1 << 22
 #: To see whether a vocabulary is of this kind.
 PROBES = ["the", "Example.", "ZÉBRÉ,", "straße!?", "niño...", "won.$$$", "Internationalisation", "a1", "ª²", "7.5%", "x_y-z@w.de", "µ(ß)", "I'LL", "don't!", "'re've'm", "'said", "!'s", "it''s'"]
 
@@ -126,6 +132,45 @@ class Encoder:
         return b"".join(map(self.words.__getitem__, parts))
 
 
+    def many(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """Ids of each text in turn, where a part is looked up once for all texts at hand."""
+        held, own, size = [], {}, 0
+        for text in chain(texts, [None]):
+            if text is None or size >= TOGETHER:
+                yield from (own.get(i, ids) for i, ids in enumerate(self.together(held)))
+                held, own, size = [], {}, 0
+            if text is None:
+                return
+            size += len(text) + 1
+            if not self.words.in_parts or len(text) > TOGETHER or not is_latin(text) or any(x in text for x in self.apart):
+                own[len(held)], text = self(text), ""
+            held.append(text)
+
+    def together(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of texts of Latin-1."""
+        raw = "".join([t + " " for t in texts]).encode("latin-1").translate(LOWER)
+        byte, kind = np.frombuffer(raw + b"  ", np.uint8), np.frombuffer(raw.translate(KIND) + b"\0\0", np.uint8)
+        first = np.append(True, (kind[1:] != kind[:-1]) | (kind[1:] == 2))
+        at = np.flatnonzero(first & (byte == ord("'")))
+        short = np.isin(byte[at + 1], list(b"stmd"))
+        long = np.isin(byte[at + 1].astype(int) * 256 + byte[at + 2], [x[0] * 256 + x[1] for x in (b"re", b"ve", b"ll")])
+        first[at[short | long] + 1] = False
+        first[np.append(at[short] + 2, at[long] + 3)] = True
+        inside = kind > 0
+        starts = np.flatnonzero(first & inside)
+        offsets = np.append(np.cumsum(inside)[starts] - 1, inside.sum()).astype(np.int32)
+        parts = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(byte[inside])]).dictionary_encode()
+        known = [self.words[x.decode("latin-1")] for x in parts.dictionary.to_pylist()]
+        which, size = parts.indices.to_numpy(), np.array([len(x) // 4 for x in known], int)
+        n = size[which]
+        upto = np.append(0, np.cumsum(n))
+        ids = np.frombuffer(b"".join(known), "<u4")[np.arange(upto[-1]) + np.repeat((np.cumsum(size) - size)[which] - upto[:-1], n)]
+        begin = 0
+        for end in upto[np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]))].tolist():
+            yield ids[begin:end].tobytes()
+            begin = end
+
+
 @cache
 def encoder(path: str) -> Encoder:
     """One for all tasks of a worker process."""
@@ -288,8 +333,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, id_col: str
         encode = encoder(tokenizer)
 
         def examples(batch: pa.RecordBatch) -> Iterator[tuple]:
-            for i, text in enumerate(batch.column(1)):
-                yield i, encode(text.as_py() or "") + end, None
+            for i, ids in enumerate(encode.many(text.as_py() or "" for text in batch.column(1))):
+                yield i, ids + end, None
 
         return examples
 
