@@ -228,3 +228,19 @@ def test_no_vectors(spark):
     assert hard_negatives.mine(d, F.col("vec_id") % 50 == 0).count() == 0
     one = spark.createDataFrame([(0, 1, [0.5])], "vec_id long, label int, embedding array<float>")
     assert hard_negatives.mine(one, F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_scores_dont_travel(spark):
+    rows = vectors(7, 120, 9, [1, 2, 3])
+    d = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    got = hard_negatives.mine(d, F.col("vec_id") % 5 == 0, n_rows=16, n_anchors=8, width=4)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [g" in plan and "tile" not in plan
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute_negatives(rows, lambda i: i is not None and i % 5 == 0)
+
+
+def test_panels_take_the_bytes_that_components_need(spark):
+    rows = [(i, i, 0, [x, 1], 0, 0, 1) for i, x in enumerate([127, -128, 5])] + [(i, i, 0, [x, -1], 1, 0, 1) for i, x in enumerate([128, 3])] + [(9, 9, 0, [-40000, 0], 2, 0, 1)]
+    d = spark.createDataFrame(rows, "row long, id long, label long, q array<int>, g long, block long, others long")
+    made = {(r["g"], r["d"]): (r["size"], np.frombuffer(r["panel"], f"i{r['size']}").tolist()) for r in hard_negatives.panels(d, 2, 1).collect()}
+    assert made == {(0, 0): (1, [127, -128, 5]), (0, 1): (1, [1, 1, 1]), (1, 0): (2, [128, 3]), (1, 1): (1, [-1, -1]), (2, 0): (4, [-40000]), (2, 1): (1, [0])}

@@ -4,11 +4,12 @@ Every anchor is scored against every row, as a stated query set against the
 whole table. Anchors and rows are dealt by hash into blocks of bounded size,
 and each block is parted by dimensions into panels. As in SUMMA (van de Geijn
 and Watts, 1997), an anchor panel goes to all blocks of rows and a row panel
-to all blocks of anchors; where two panels of the same dimensions meet, a task
-makes a partial tile of int64 scores. The tiles are shuffled and added up by
-(anchor block, row block), and the tile's top k of each anchor is what is left
-of it. So a task holds one tile and its two panels, whatever the number of
-rows or dimensions.
+to all blocks of anchors, while the tile of an anchor block and a row block
+stays where it is: its task takes the panels by dimensions, multiplies two of
+them and adds their int64 products up, and the tile's top k of each anchor is
+what is left of it. So scores never travel, what travels is a panel for each
+tile it is part of, in as few bytes as its components need, and a task holds
+one tile and two panels, whatever the number of rows or dimensions.
 
 First, anchors meet rows of their own label: labels are dealt into families,
 and a family is parted into as many blocks as it needs, so a label with a
@@ -43,12 +44,14 @@ from pyspark.sql import functions as F
 
 from textloom.tables import stage
 
-#: Rows and anchors of a block, and dimensions of a panel.
-ROWS, ANCHORS, WIDTH = 1024, 256, 32
+#: Rows and anchors of a block, and dimensions of a panel; anchors of a tile that are looked at together.
+ROWS, ANCHORS, WIDTH, STRIP = 4096, 1024, 32, 256
 LARGEST = 1 << 22
 #: Stands for a null id in the tasks, as it is last among ties.
 NO_ID = (1 << 63) - 1
-PANEL = "g long, block long, d int, panel binary, meta binary"
+#: Less than any score.
+LOW = -(1 << 63)
+PANEL = "g long, block long, others long, d int, size int, panel binary, meta binary"
 SEEN = "row long, slot int, anchor_id long, positive_id long, positive_score long, id long, score long"
 
 
@@ -63,7 +66,7 @@ def quantised(rows: DataFrame, id_col: str, label_col: str, vector_col: str, anc
 
 
 def panels(rows: DataFrame, dims: int, width: int) -> DataFrame:
-    """Panels of the blocks (g, block) of ``rows``, in order of id; the first one brings rows, ids, labels and windows along."""
+    """Panels of the blocks (g, block) of ``rows``, in order of id; the first one brings rows, ids, labels and windows along. ``size``: the bytes of a component."""
 
     def cut(table: pa.Table) -> pa.Table:
         ids = table["id"].fill_null(NO_ID).to_numpy()
@@ -78,70 +81,66 @@ def panels(rows: DataFrame, dims: int, width: int) -> DataFrame:
                 for field in ("id", "score", "some"):
                     told.append(np.array([s[field] if s[field] is not None else NO_ID for s in slots], np.int64))
         meta = np.stack([x[order] for x in told]).tobytes()
-        starts = range(0, q.shape[1], width)
-        n = len(starts)
+        parts = [q[:, s : s + width] for s in range(0, q.shape[1], width)]
+        parts = [x.astype(np.min_scalar_type(min(int(x.min()), -1 - int(x.max()), -1))) for x in parts]
+        n = len(parts)
+        same = lambda name: pa.array([table[name][0].as_py()] * n, pa.int64())
         return pa.table({
-            "g": pa.array([table["g"][0].as_py()] * n, pa.int64()), "block": pa.array([table["block"][0].as_py()] * n, pa.int64()), "d": pa.array(range(n), pa.int32()),
-            "panel": pa.array([np.ascontiguousarray(q[:, s : s + width]).tobytes() for s in starts], pa.binary()), "meta": pa.array([meta, *[None] * (n - 1)], pa.binary()),
+            "g": same("g"), "block": same("block"), "others": same("others"), "d": pa.array(range(n), pa.int32()), "size": pa.array([x.itemsize for x in parts], pa.int32()),
+            "panel": pa.array([x.tobytes() for x in parts], pa.binary()), "meta": pa.array([meta, *[None] * (n - 1)], pa.binary()),
         })
 
     return rows.groupBy("g", "block").applyInArrow(cut, PANEL)
 
 
-def partial_tiles(met: DataFrame, width: int, dims: int) -> DataFrame:
-    """(g, i, j, d, tile, meta_a, meta_b) of panels that met: products over the panel's dimensions, kept by byte planes, as most of the eight are alike."""
+def tiles(met: DataFrame, width: int, dims: int, keep: Callable[[np.ndarray, np.ndarray, np.ndarray], pa.RecordBatch]) -> DataFrame:
+    """Rows of ``SEEN``: the products of the panels of each (g, i, j) added up by d, a strip of anchors after the other reduced by ``keep`` (scores, anchors' meta, rows' meta)."""
 
-    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in range(batch.num_rows):
-                w = min(width, max(1, dims) - width * batch.column(3)[r].as_py())
-                a, b = (np.frombuffer(batch.column(c)[r].as_py(), np.int32).reshape(-1, w).astype(np.float64) for c in (4, 5))
-                tile = np.rint(a @ b.T).astype(np.int64)
-                planes = tile.view(np.uint8).reshape(-1, 8).T.tobytes()
-                one = batch.slice(r, 1)
-                yield pa.RecordBatch.from_arrays([*one.columns[:4], pa.array([planes], pa.binary()), *one.columns[6:]], ["g", "i", "j", "d", "tile", "meta_a", "meta_b"])
-
-    return met.mapInArrow(multiply, "g long, i long, j long, d int, tile binary, meta_a binary, meta_b binary")
-
-
-def summed_tiles(tiles: DataFrame, keep: Callable[[np.ndarray, np.ndarray, np.ndarray], pa.RecordBatch]) -> DataFrame:
-    """Partial tiles shuffled and added by (g, i, j), each sum reduced by ``keep`` (tile, anchors' meta, rows' meta) to rows of ``SEEN``."""
+    def whole(total: np.ndarray, of_a: np.ndarray, of_b: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for s in range(0, len(total), STRIP):
+            yield keep(total[s : s + STRIP], of_a[:, s : s + STRIP], of_b)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, total, of_a, of_b = None, None, None, None
+        at, total, panel, of_a, of_b = None, None, None, None, None
         for batch in batches:
             for r in range(batch.num_rows):
-                key = tuple(batch.column(c)[r].as_py() for c in range(3))
-                part = np.ascontiguousarray(np.frombuffer(batch.column(4)[r].as_py(), np.uint8).reshape(8, -1).T).view(np.int64)
+                *key, d, side, size = (batch.column(c)[r].as_py() for c in range(6))
                 if key != at:
-                    if at is not None:
-                        yield keep(total, of_a, of_b)
-                    # Sorted by d, the first part brings the rows along.
-                    of_a, of_b = (np.frombuffer(batch.column(c)[r].as_py(), np.int64) for c in (5, 6))
-                    of_b = of_b.reshape(3, -1)
-                    n = of_b.shape[1]
-                    of_a = of_a.reshape(-1, len(part) // n)
-                    at, total = key, np.zeros((len(part) // n, n), np.int64)
-                total += part.reshape(total.shape)
-        if at is not None:
-            yield keep(total, of_a, of_b)
-
-    return tiles.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "d").mapInArrow(add, SEEN)
+                    if total is not None:
+                        yield from whole(total, of_a, of_b)
+                    at, total, panel = key, None, None
+                if side and panel is None:
+                    continue  # a block without anchors
+                w = min(width, max(1, dims) - width * d)
+                x = np.frombuffer(batch.column(6)[r].as_py(), f"i{size}").reshape(-1, w).astype(np.float64)
+                if d == 0:  # the first panels bring the rows along
+                    meta = np.frombuffer(batch.column(7)[r].as_py(), np.int64).reshape(-1, len(x))
+                    of_a, of_b = (of_a, meta) if side else (meta, of_b)
+                if not side:
+                    panel = x
+                    continue
+                if total is None:
+                    total = np.zeros((len(panel), len(x)), np.int64)
+                for s in range(0, len(panel), STRIP):
+                    total[s : s + STRIP] += (panel[s : s + STRIP] @ x.T).astype(np.int64)
+        if total is not None:
+            yield from whole(total, of_a, of_b)
+
+    return met.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "d", "side").mapInArrow(add, SEEN)
 
 
 def _top(scores: np.ndarray, allowed: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(row, column) of the ``k`` largest allowed scores of each row; the first column on ties."""
-    low = np.iinfo(np.int64).min
-    left = np.where(allowed, scores, low)
+    left = np.where(allowed, scores, LOW)
     rows, columns, every = [], [], np.arange(len(scores))
     for _ in range(min(k, scores.shape[1])):
         best = left.argmax(1)
-        there = every[left[every, best] != low]
+        there = every[left[every, best] != LOW]
         if not len(there):
             break
         rows.append(there)
         columns.append(best[there])
-        left[there, best[there]] = low
+        left[there, best[there]] = LOW
     return (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, columns))
 
 
@@ -155,14 +154,10 @@ def _seen(a: np.ndarray, ids: np.ndarray, score: np.ndarray, slot: int, positive
 
 def scored(anchors: DataFrame, rows: DataFrame, dims: int, width: int, keep: Callable) -> DataFrame:
     """Rows of ``SEEN`` for the blocks of ``anchors`` and ``rows``, each (row, id, label, q, g, block, others): ``others`` are the blocks on the other side of g."""
-    reach = lambda df: df.groupBy("g", "block").agg(F.max("others").alias("others"))
-    every = lambda df: F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1))
-    a = panels(anchors, dims, width).join(reach(anchors), ["g", "block"])
-    a = a.select("g", F.col("block").alias("i"), every(a).alias("j"), "d", F.col("panel").alias("a"), F.col("meta").alias("meta_a"))
-    b = panels(rows, dims, width).join(reach(rows), ["g", "block"])
-    b = b.select("g", every(b).alias("i"), F.col("block").alias("j"), "d", F.col("panel").alias("b"), F.col("meta").alias("meta_b"))
-    met = a.join(b, ["g", "i", "j", "d"]).select("g", "i", "j", "d", "a", "b", "meta_a", "meta_b")
-    return summed_tiles(partial_tiles(met, width, dims), keep)
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1))
+    to = lambda df, own, other, side: panels(df, dims, width).select("g", F.col("block").alias(own), every.alias(other), "d", F.lit(side).alias("side"), "size", "panel", "meta")
+    met = to(anchors, "i", "j", 0).unionByName(to(rows, "j", "i", 1))
+    return tiles(met.select("g", "i", "j", "d", "side", "size", "panel", "meta"), width, dims, keep)
 
 
 def _first(seen: DataFrame, by: list[str], k: int) -> DataFrame:
@@ -188,13 +183,13 @@ def mine(
 
     # Families of labels: each of about a block of rows, or one label's and as many blocks as it fills.
     family = all_rows.withColumn("g", F.pmod(F.xxhash64("label"), F.lit(max(1, total // n_rows))))
-    sizes = family.groupBy("g").agg(blocks(F.count("*"), n_rows).alias("nj"), blocks(F.count(F.when(F.col("anchor"), 1)), n_anchors).alias("ni"))
-    family = family.join(sizes, "g")
+    own = F.count(F.when(F.col("anchor"), 1))
+    sizes = family.groupBy("g").agg(blocks(F.count("*"), n_rows).alias("nj"), blocks(own, n_anchors).alias("ni"), (own > 0).alias("some"))
+    # A row a family, of which there are no more than blocks; those without an anchor meet none.
+    family = family.join(F.broadcast(sizes.where("some")), "g")
     row = ["row", "id", "label", "q", "g"]
     asked = family.where("anchor").select(*row, dealt(F.col("ni")).alias("block"), F.col("nj").alias("others"))
-    # Rows of families without an anchor meet none.
-    have = family.where("anchor").select("g").distinct()
-    other = family.join(have, "g", "left_semi").select(*row, dealt(F.col("nj")).alias("block"), F.col("ni").alias("others"))
+    other = family.select(*row, dealt(F.col("nj")).alias("block"), F.col("ni").alias("others"))
 
     def same_label(tile: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
         i, j = _top(tile, (a[2][:, None] == b[2]) & (a[0][:, None] != b[0]), positives)
@@ -214,10 +209,13 @@ def mine(
     (p, q), (r, s) = least.as_integer_ratio(), most.as_integer_ratio()
 
     def in_windows(tile: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        differ, out = a[2][:, None] != b[2], []
+        left, out = np.where(a[2][:, None] != b[2], tile, LOW), []
         for k in range(positives):
             of, score, some = a[3 + 3 * k : 6 + 3 * k]
-            i, j = _top(tile, differ & (some[:, None] == 1) & (tile * q >= p * score[:, None]) & (tile * s <= r * score[:, None]), negatives)
+            # The best ones below the window's top; those below its bottom go.
+            i, j = _top(left, left <= (r * score // s)[:, None], negatives)
+            fits = (some[i] == 1) & (tile[i, j] >= -(-p * score // q)[i])
+            i, j = i[fits], j[fits]
             out.append(_seen(a[:, i], b[1][j], tile[i, j], k, (of[i], score[i])))
         return pa.Table.from_batches(out).combine_chunks().to_batches(1 << 30)[0] if any(x.num_rows for x in out) else out[0]
 
