@@ -199,7 +199,8 @@ def _lengths(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _index(spark: SparkSession, sf: str) -> DataFrame:
-    return search.postings(table(spark, sf, "documents"), "doc_id", latin_tokens(F.col("text")))
+    docs = table(spark, sf, "documents")
+    return search.postings(docs, "doc_id", latin_tokens(F.col("text")), rows=docs.count())
 
 
 @query(f"WITH {INDEX} SELECT term, count(*) AS df, sum(n)::BIGINT AS n, max(length) AS longest FROM i GROUP BY 1")
@@ -222,8 +223,11 @@ def search_top5(spark: SparkSession, sf: str) -> DataFrame:
 @query(ORACLE["search_top5"])
 def search_blocks(spark: SparkSession, sf: str) -> DataFrame:
     """The same answers from postings in blocks, of which those are left out whose documents can't be among the best."""
-    blocks = stage(search.block_postings(_index(spark, sf), "doc_id", docs=_lengths(spark, sf)), "search_index")
-    found, _ = search.pruned_blocks(blocks, table(spark, sf, "benchmark"), "item_id", latin_tokens(F.col("text")), "doc_id")
+    docs, queries, words = table(spark, sf, "documents"), table(spark, sf, "benchmark"), latin_tokens(F.col("text"))
+    rows = docs.count()
+    index = search.postings(docs, "doc_id", words, rows=rows, blocks=max(1, -(-rows // 256)))
+    blocks = search.block_postings(index, "doc_id", docs=_lengths(spark, sf), asked=queries.select(F.explode(words).alias("term")))
+    found, _ = search.pruned_blocks(blocks, queries, "item_id", words, "doc_id")
     return found
 
 
